@@ -39,7 +39,7 @@ def scanned_bytes(df: DataFrame) -> int | None:
     """Bytes of the files and tables below ``df``; None where the planner is out of reach."""
     try:
         leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None
 

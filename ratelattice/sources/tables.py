@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratelattice.schemas import INPUTS, RATE, TABLES
 from ratelattice.skew import neighbour
+from ratelattice.sources.kept import keep
 
 STORED = [
     "business_category", "business_sub_category", "product_line", "color_code", "group_node", "node_l1",
@@ -89,15 +88,6 @@ def _top_level_split(ddl: str) -> list[str]:
     return [*fields, ddl[start:]]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, ``spark.checkpoint.dir``; a temporary one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="ratelattice-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 class DerivedTables(RateTables):
     """The rate tables expressed over a star-schema data set (see FIXTURES.md).
 
@@ -106,11 +96,6 @@ class DerivedTables(RateTables):
     items and computed by each query, down to the columns it reads.
     """
 
-    def _kept(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{shared_folder(self.spark)}/rate-tables-{uuid.uuid4().hex}/{name}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def _conform(self, name: str, df: DataFrame) -> DataFrame:
         defaults = {
             "last_modified_ts": F.expr(LOADED_AT),
@@ -191,7 +176,7 @@ class DerivedTables(RateTables):
             .join(ranked(["p_type"], "g_id"), ["p_type"])
         )
         nodes = part.join(combos, ["p_type", "size_band", "p_brand"]).withColumn("l3_id", F.col("p_partkey") + 1)
-        return self._kept("part_nodes", nodes)
+        return keep(nodes, "part_nodes")
 
     @cached_property
     def group_node(self) -> DataFrame:
@@ -201,7 +186,7 @@ class DerivedTables(RateTables):
             F.when(F.col("g_id") == 6, 0).otherwise(1).alias("is_active"),
             F.col("p_type").alias("name"),
         )
-        return self._kept("group_node", self._conform("group_node", df.distinct()).coalesce(1))
+        return keep(self._conform("group_node", df.distinct()).coalesce(1), "group_node")
 
     @cached_property
     def node_l1(self) -> DataFrame:
@@ -211,7 +196,7 @@ class DerivedTables(RateTables):
             F.when(F.col("l1_id") % 10 == 0, 0).otherwise(1).alias("is_active"),
             F.concat(F.lit("SIZE-BAND-"), F.col("size_band")).alias("name"),
         )
-        return self._kept("node_l1", self._conform("node_l1", df.distinct()).coalesce(1))
+        return keep(self._conform("node_l1", df.distinct()).coalesce(1), "node_l1")
 
     @cached_property
     def node_l2(self) -> DataFrame:
@@ -221,7 +206,7 @@ class DerivedTables(RateTables):
             F.when(F.col("l2_id") % 11 == 0, 0).otherwise(1).alias("is_active"),
             F.col("p_brand").alias("name"),
         )
-        return self._kept("node_l2", self._conform("node_l2", df.distinct()).coalesce(1))
+        return keep(self._conform("node_l2", df.distinct()).coalesce(1), "node_l2")
 
     @cached_property
     def node_l3(self) -> DataFrame:
