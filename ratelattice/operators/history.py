@@ -24,17 +24,14 @@ def moment(text: str) -> Column:
 
 
 def _latest(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Last change per group, by hash aggregation only.
+    """Last change per group.
 
-    The inner step settles ties on the timestamp by the log id, the outer one
-    takes the last timestamp.  Both keep fixed-width buffers, so they combine
-    rows before the shuffle and never sort; ordering by one struct would force
-    a sort-based aggregate.
+    The changes of a group are reduced to one per map task before the only
+    shuffle, however many there are.  (Settling ties in a separate step would
+    stay with hash aggregation but shuffle nearly every change; measured slower.)
     """
-    per_moment = changes.groupBy(*keys, "created_on").agg(F.max_by("rate", "id").alias("rate"))
-    return per_moment.groupBy(*keys).agg(
-        F.max_by("rate", "created_on").alias("rate"), F.max("created_on").alias("created_on")
-    )
+    last = F.max_by(F.struct("rate", "created_on"), F.struct(*ORDER))
+    return changes.groupBy(*keys).agg(last.alias("last")).select(*keys, "last.rate", "last.created_on")
 
 
 def rate_asof(log: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
