@@ -155,10 +155,54 @@ def header_rows(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool = Fal
         "category_id",
         S.strip_quotes(F.col("code")).alias("code"),
         F.col("sub_category_id").alias("business_sub_category_id"),
+        "product_line_id",
         F.inline(rows),
     )
 
 
+def column_tree_json(tables: RateTables, icons: bool = True) -> DataFrame:
+    """The column tree as JSON documents, one per sub-category and segment.
+
+    A sub-category with many product lines is written in segments of at most
+    1024 consecutive positions, to be read in segment order.
+    """
+    column = F.struct("position", "title", F.col("data_index").alias("dataIndex"), F.col("product_line_id").alias("id"))
+    shown = column_tree(tables, icons).filter("sub_category_id IS NOT NULL").withColumn(
+        "segment", F.coalesce(F.floor((F.col("position") - 1) / SEGMENT_LINES), F.lit(0))
+    )
+    listed = F.array_sort(F.collect_list(F.when(F.col("position").isNotNull(), column)))
+    return shown.groupBy("category_id", "sub_category_id", "sub_category", "segment").agg(listed.alias("children")).select(
+        "category_id", "sub_category_id", "segment",
+        F.to_json(
+            F.struct(
+                F.col("sub_category").alias("title"),
+                F.col("sub_category_id").alias("businessSubCategoryId"),
+                F.transform("children", lambda c: c.dropFields("position")).alias("children"),
+            )
+        ).alias("doc"),
+    )
+
+
+def header_rows_json(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool = False) -> DataFrame:
+    """The header rows as JSON documents, one per category, row and sub-category, keyed by code.
+
+    A sub-category with many lines is written in segments of at most 1024
+    lines; a line whose code repeats an earlier one shows in its place.
+    """
+    value = F.struct(
+        "quarter",
+        F.when(F.col("value").isNull(), F.array().cast("array<decimal(18,4)>")).otherwise(F.array("value")).alias("value"),
+        F.col("business_sub_category_id").alias("businessSubCategoryId"),
+    )
+    group = ["category_id", "row_title", "business_sub_category_id", "segment"]
+    segment = F.floor((F.col("product_line_id") - 1) / SEGMENT_LINES).alias("segment")
+    cells = header_rows(tables, today, wrap).select("*", segment).groupBy(*group, "code").agg(
+        F.max_by(value, "product_line_id").alias("cell")
+    )
+    nested = cells.groupBy(*group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "cell")))).alias("cells"))
+    return nested.select(*group, F.to_json(F.struct(F.col("row_title").alias("baserate"), "cells")).alias("doc"))
+
+
 # ---- row tree ------------------------------------------------------------------------------
 
 

@@ -17,6 +17,8 @@ from ratelattice.sources.tables import RateTables
 
 DEFAULT_AS_OF = "1998-06-30 23:59:00"
 ORDER = ["created_on", "id"]
+SEGMENT_CHANGES = 1024
+NO_CHANGES = "array<struct<date:string,baseRate:decimal(18,4),notes:string,attachment:string,modifiedBy:string>>"
 
 
 def moment(text: str) -> Column:
@@ -96,6 +98,30 @@ def entry_history(log: DataFrame, attachments: DataFrame) -> DataFrame:
     )
 
 
+def entry_detail_json(tables: RateTables) -> DataFrame:
+    """Lineage and history of every entry as JSON, in segments of at most 1024 changes.
+
+    Segments run from the newest changes to the oldest; an entry without
+    history has one segment with an empty list.
+    """
+    change = F.struct("seq", "date", F.col("base_rate").alias("baseRate"), "notes", "attachment", F.col("modified_by").alias("modifiedBy"))
+    history = entry_history(tables.rate_change_log, tables.attachment).withColumn(
+        "segment", F.floor((F.col("seq") - 1) / SEGMENT_CHANGES)
+    )
+    nested = history.groupBy("rate_entry_id", "segment").agg(F.array_sort(F.collect_list(change)).alias("changes"))
+    entries = entry_lineage(tables).join(nested, "rate_entry_id", "left")
+    return entries.select(
+        "rate_entry_id",
+        F.coalesce("segment", F.lit(0)).alias("segment"),
+        F.to_json(
+            F.struct(
+                "category", F.col("group_name").alias("group"), F.col("product_line").alias("productLine"), "seller", "rate",
+                F.coalesce(F.transform("changes", lambda c: c.dropFields("seq")), F.expr("array()").cast(NO_CHANGES)).alias("changes"),
+            )
+        ).alias("doc"),
+    )
+
+
 def missing_attachments(log: DataFrame, attachments: DataFrame) -> DataFrame:
     """Changes whose attachment row does not exist."""
     return log.join(

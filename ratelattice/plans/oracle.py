@@ -471,6 +471,23 @@ SELECT c.id, NULL, NULL, NULL, NULL, NULL, NULL FROM business_category c WHERE c
 
 QUERIES["column_tree"] = _column_tree(True)
 QUERIES["column_tree_plain"] = _column_tree(False)
+QUERIES["column_tree_json"] = f"""
+SELECT category_id, sub_category_id, segment, '{{"title":"' || sub_category || '","businessSubCategoryId":' || sub_category_id || ',"children":[' ||
+       string_agg('{{"title":"' || title || '","dataIndex":"' || data_index || '"' || CASE WHEN product_line_id IS NULL THEN '' ELSE ',"id":' || product_line_id END || '}}', ',' ORDER BY position) || ']}}' AS doc
+FROM (SELECT *, (position - 1) // 1024 AS segment FROM ({_column_tree(True)}) WHERE sub_category_id IS NOT NULL)
+GROUP BY category_id, sub_category_id, sub_category, segment"""
+QUERIES["header_rows_json"] = f"""
+SELECT category_id, row_title, business_sub_category_id, segment, '{{"baserate":"' || row_title || '","cells":{{' ||
+       string_agg('"' || code || '":{{"quarter":"' || quarter || '","value":[' || coalesce(CAST(value AS VARCHAR), '') || '],"businessSubCategoryId":' || business_sub_category_id || '}}', ',' ORDER BY code) || '}}}}' AS doc
+FROM (SELECT h.*, (p.id - 1) // 1024 AS segment FROM ({QUERIES["header_rows"]}) h JOIN product_line p ON p.code = h.code)
+GROUP BY category_id, row_title, business_sub_category_id, segment"""
+QUERIES["entry_detail_json"] = f"""
+SELECT e.rate_entry_id, coalesce(h.segment, 0) AS segment,
+       '{{"category":"' || e.category || '","group":"' || e.group_name || '","productLine":"' || e.product_line || '","seller":"' || e.seller || '","rate":' || e.rate || ',"changes":[' || coalesce(h.changes, '') || ']}}' AS doc
+FROM ({QUERIES["entry_lineage"]}) e LEFT JOIN (
+  SELECT rate_entry_id, (seq - 1) // 1024 AS segment, string_agg('{{"date":"' || date || '","baseRate":' || base_rate || ',"notes":"' || notes || '","attachment":"' || attachment
+         || '","modifiedBy":"' || modified_by || '"}}', ',' ORDER BY seq) AS changes
+  FROM ({QUERIES["entry_history"]}) GROUP BY rate_entry_id, segment) h ON h.rate_entry_id = e.rate_entry_id"""
 
 
 def _needed(text: str) -> list[str]:

@@ -208,7 +208,22 @@ def group_tree_json(t):
 
 @plan
 def header_rows(t):
-    return hierarchy.header_rows(t)
+    return hierarchy.header_rows(t).drop("product_line_id")
+
+
+@plan
+def header_rows_json(t):
+    return hierarchy.header_rows_json(t)
+
+
+@plan
+def column_tree_json(t):
+    return hierarchy.column_tree_json(t)
+
+
+@plan
+def entry_detail_json(t):
+    return history.entry_detail_json(t)
 
 
 @plan

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelattice.sources.kept import keep
+
 CHECK_BYTES = "ratelattice.skew.checkBytes"
 MAX_GROUP_ROWS = "ratelattice.skew.maxGroupRows"
 MAX_CHUNKS = "ratelattice.skew.maxChunks"
@@ -109,17 +111,23 @@ def _cut_points(df: DataFrame, order: Sequence[str], rows: int) -> list:
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunked:
-    """Adds the chunk number: 0 for ordinary groups, the ordered slice for hot ones."""
+    """Adds the chunk number: 0 for ordinary groups, the ordered slice for hot ones.
+
+    Input that has to be split is read several times, so it is written to the
+    shared folder first.
+    """
     if is_small(df):
         return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
     if keys:
         hot = hot_groups(df, keys)
         if not hot:
             return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
+        df = keep(df, "grouped")
         in_hot = F.xxhash64(*keys).isin(list(hot))
         cuts = _cut_points(df.filter(in_hot), order, sum(hot.values()))
         number = F.when(in_hot, _position(order, cuts)).otherwise(0)
     else:
+        df = keep(df, "ordered")
         cuts = _cut_points(df, order, df.count())
         number = _position(order, cuts)
     if not cuts:
