@@ -26,7 +26,16 @@ from ratelattice.sources.kept import keep
 CHECK_BYTES = "ratelattice.skew.checkBytes"
 MAX_GROUP_ROWS = "ratelattice.skew.maxGroupRows"
 MAX_CHUNKS = "ratelattice.skew.maxChunks"
-DEFAULTS = {CHECK_BYTES: 256 << 20, MAX_GROUP_ROWS: 2_000_000, MAX_CHUNKS: 256}
+TABLE_BYTES = "ratelattice.skew.tableBytes"
+TABLE_CHUNK_ROWS = "ratelattice.skew.tableChunkRows"
+DEFAULTS = {
+    CHECK_BYTES: 256 << 20,
+    MAX_GROUP_ROWS: 2_000_000,
+    MAX_CHUNKS: 256,
+    # numbering without groups would use a single task, so it is cut much earlier
+    TABLE_BYTES: 32 << 20,
+    TABLE_CHUNK_ROWS: 200_000,
+}
 
 _CHUNK = "__chunk"
 _SAMPLES_PER_CHUNK = 40
@@ -46,9 +55,9 @@ def scanned_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, limit: str = CHECK_BYTES) -> bool:
     size = scanned_bytes(df)
-    return size is not None and size < _setting(df, CHECK_BYTES)
+    return size is not None and size < _setting(df, limit)
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
@@ -91,8 +100,8 @@ def _position(order: Sequence[str], cuts: list, lo: int = 0, hi: int | None = No
     )
 
 
-def _cut_points(df: DataFrame, order: Sequence[str], rows: int) -> list:
-    chunks = min(_setting(df, MAX_CHUNKS), -(-rows // max(1, _setting(df, MAX_GROUP_ROWS))))
+def _cut_points(df: DataFrame, order: Sequence[str], rows: int, chunk_rows: str = MAX_GROUP_ROWS) -> list:
+    chunks = min(_setting(df, MAX_CHUNKS), -(-rows // max(1, _setting(df, chunk_rows))))
     if chunks < 2:
         return []
     fraction = min(1.0, chunks * _SAMPLES_PER_CHUNK / rows)
@@ -116,7 +125,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunked
     Input that has to be split is read several times, so it is written to the
     shared folder first.
     """
-    if is_small(df):
+    if is_small(df, CHECK_BYTES if keys else TABLE_BYTES):
         return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
     if keys:
         hot = hot_groups(df, keys)
@@ -128,7 +137,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunked
         number = F.when(in_hot, _position(order, cuts)).otherwise(0)
     else:
         df = keep(df, "ordered")
-        cuts = _cut_points(df, order, df.count())
+        cuts = _cut_points(df, order, df.count(), TABLE_CHUNK_ROWS)
         number = _position(order, cuts)
     if not cuts:
         return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)

@@ -29,7 +29,9 @@ def chunking(spark):
     """Treats every group with more than five rows as hot."""
     from ratelattice import skew
 
-    values = {skew.CHECK_BYTES: "0", skew.MAX_GROUP_ROWS: "5", skew.MAX_CHUNKS: "16"}
+    values = {
+        skew.CHECK_BYTES: "0", skew.MAX_GROUP_ROWS: "5", skew.MAX_CHUNKS: "16", skew.TABLE_BYTES: "0", skew.TABLE_CHUNK_ROWS: "5",
+    }
     for key, value in values.items():
         spark.conf.set(key, value)
     yield
