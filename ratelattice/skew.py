@@ -1,22 +1,22 @@
 """Windows that stay bounded when one group holds a large share of the rows.
 
 A window ordered inside a group normally sends the whole group to one task.
-The helpers here cut the rows of hot groups (and of ungrouped, table-wide
-numbering) into ordered chunks, evaluate the window per (group, chunk), and
-stitch the chunks together through one summary row per chunk.  Which groups
-count as hot, and where the cuts lie, only decides the layout: every choice
-yields the same rows.
-
-Both are settled once, when the plan is built, from a frequency sketch and a
-sample, and enter the plan as literals, so a recomputed task sees the same
-chunks.  Inputs below ``checkBytes`` skip the look-up: no group in them can
-outgrow a task.
+Here the rows of hot groups, and the rows of table-wide numbering, are range-
+partitioned by (group, order) first, so that a group spreads over as many
+partitions as it needs.  The partition number is written with the rows; the
+window then runs per (group, partition), and the slices of a group are stitched
+through one summary row each.
+
+Which groups count as hot and where the slices end only decides the layout:
+every choice yields the same rows.  Hot groups are looked up when the plan is
+built, and the slices are written to the shared folder, so a recomputed task
+sees the same ones.  Inputs below ``checkBytes`` (``tableBytes`` for numbering
+without groups) skip all this: nothing in them can outgrow a task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,21 +24,11 @@ from pyspark.sql import functions as F
 from ratelattice.sources.kept import keep
 
 CHECK_BYTES = "ratelattice.skew.checkBytes"
-MAX_GROUP_ROWS = "ratelattice.skew.maxGroupRows"
-MAX_CHUNKS = "ratelattice.skew.maxChunks"
 TABLE_BYTES = "ratelattice.skew.tableBytes"
-TABLE_CHUNK_ROWS = "ratelattice.skew.tableChunkRows"
-DEFAULTS = {
-    CHECK_BYTES: 256 << 20,
-    MAX_GROUP_ROWS: 2_000_000,
-    MAX_CHUNKS: 256,
-    # numbering without groups would use a single task, so it is cut much earlier
-    TABLE_BYTES: 32 << 20,
-    TABLE_CHUNK_ROWS: 200_000,
-}
-
-_CHUNK = "__chunk"
-_SAMPLES_PER_CHUNK = 40
+MAX_GROUP_ROWS = "ratelattice.skew.maxGroupRows"
+DEFAULTS = {CHECK_BYTES: 256 << 20, TABLE_BYTES: 32 << 20, MAX_GROUP_ROWS: 2_000_000}
+
+_SLICE = "__slice"
 _SKETCH_TOP, _SKETCH_TRACKED = 1000, 100_000
 
 
@@ -50,9 +40,9 @@ def scanned_bytes(df: DataFrame) -> int | None:
     """Bytes of the files and tables below ``df``; None where the planner is out of reach."""
     try:
         leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame, limit: str = CHECK_BYTES) -> bool:
@@ -75,78 +65,29 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
     return {t["item"]: t["count"] for t in (top or []) if t["count"] > limit}
 
 
-@dataclass
-class Chunked:
-    df: DataFrame
-    split: bool
-
-
-def _before(order: Sequence[str], cut: Sequence) -> Column:
-    """Row lies before ``cut`` in the lexicographic order of ``order``."""
-    result = F.lit(False)
-    for name, literal in reversed(list(zip(order, cut))):
-        result = (F.col(name) < literal) | ((F.col(name) == literal) & result)
-    return result
-
-
-def _position(order: Sequence[str], cuts: list, lo: int = 0, hi: int | None = None) -> Column:
-    """Number of cuts at or before the row, as a balanced comparison tree."""
-    hi = len(cuts) if hi is None else hi
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_before(order, cuts[mid]), _position(order, cuts, lo, mid)).otherwise(
-        _position(order, cuts, mid + 1, hi)
-    )
+def slices(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows with a slice number that rises along ``by``; AQE keeps the slices at a fair size."""
+    return keep(df.repartitionByRange(*by).withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
-def _cut_points(df: DataFrame, order: Sequence[str], rows: int, chunk_rows: str = MAX_GROUP_ROWS) -> list:
-    chunks = min(_setting(df, MAX_CHUNKS), -(-rows // max(1, _setting(df, chunk_rows))))
-    if chunks < 2:
-        return []
-    fraction = min(1.0, chunks * _SAMPLES_PER_CHUNK / rows)
-    # cuts enter the plan as text cast back to the column type, which is exact for ids and timestamps
-    sample = df.select(*order).sample(fraction, seed=7).select(*order, *[F.col(c).cast("string").alias(f"{c}__s") for c in order])
-    rows_ = sorted(sample.collect(), key=lambda r: tuple(r[c] for c in order))
-    types = dict(df.dtypes)
-    picked = [rows_[i * len(rows_) // chunks] for i in range(1, chunks)] if len(rows_) >= chunks else rows_
-    cuts, seen = [], set()
-    for row in picked:
-        text = tuple(row[f"{c}__s"] for c in order)
-        if text not in seen:
-            seen.add(text)
-            cuts.append([F.lit(t).cast(types[c]) for t, c in zip(text, order)])
-    return cuts
-
-
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Chunked:
-    """Adds the chunk number: 0 for ordinary groups, the ordered slice for hot ones.
-
-    Input that has to be split is read several times, so it is written to the
-    shared folder first.
-    """
+def _windowed(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], whole: Callable[[DataFrame], DataFrame], sliced: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``whole`` on ordinary groups, ``sliced`` on the slices of hot ones."""
     if is_small(df, CHECK_BYTES if keys else TABLE_BYTES):
-        return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
-    if keys:
-        hot = hot_groups(df, keys)
-        if not hot:
-            return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
-        df = keep(df, "grouped")
-        in_hot = F.xxhash64(*keys).isin(list(hot))
-        cuts = _cut_points(df.filter(in_hot), order, sum(hot.values()))
-        number = F.when(in_hot, _position(order, cuts)).otherwise(0)
-    else:
-        df = keep(df, "ordered")
-        cuts = _cut_points(df, order, df.count(), TABLE_CHUNK_ROWS)
-        number = _position(order, cuts)
-    if not cuts:
-        return Chunked(df.withColumn(_CHUNK, F.lit(0)), False)
-    return Chunked(df.withColumn(_CHUNK, number), True)
-
-
-def _join_chunks(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on (keys, chunk); keys may be null."""
-    names = [*keys, _CHUNK]
+        return whole(df)
+    if not keys:
+        return sliced(slices(df, order))
+    hot = hot_groups(df, keys)
+    if not hot:
+        return whole(df)
+    in_hot = F.xxhash64(*keys).isin(list(hot))
+    return whole(df.filter(~in_hot)).unionByName(sliced(slices(df.filter(in_hot), [*keys, *order])))
+
+
+def _join_slices(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on (keys, slice); keys may be null."""
+    names = [*keys, _SLICE]
     right = summary.select(*[F.col(c).alias(f"__r_{c}") for c in names], *[c for c in summary.columns if c not in names])
     condition = F.lit(True)
     for c in names:
@@ -167,25 +108,26 @@ def running_total(
     With ``value`` left out it is the number of earlier rows, that is row_number - 1.
     ``order`` must be unique within a group.
     """
-    source = df if value is None else df.withColumn("__value", value.cast("bigint"))
     amount = F.lit(1).cast("bigint") if value is None else F.col("__value")
-    parts = chunked(source, keys, order)
     sort = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    earlier = Window.partitionBy(*keys, *([_CHUNK] if parts.split else [])).orderBy(*sort)
-    if value is None:
-        local = F.row_number().over(earlier).cast("bigint") - 1
-    else:
-        local = F.coalesce(F.sum(amount).over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    result = parts.df.withColumn(out, local)
-    if parts.split:
-        totals = parts.df.groupBy(*keys, _CHUNK).agg(F.sum(amount).alias("__total"))
-        chunk_order = F.col(_CHUNK).desc() if descending else F.col(_CHUNK).asc()
-        before = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.withColumn("__offset", F.sum("__total").over(before)).drop("__total")
-        result = _join_chunks(result, offsets, keys).withColumn(
-            out, F.col(out) + F.coalesce(F.col("__offset"), F.lit(0))
-        )
-    return result.drop(_CHUNK, "__value", "__offset")
+
+    def total(part: DataFrame, groups: Sequence[str]) -> DataFrame:
+        earlier = Window.partitionBy(*groups).orderBy(*sort)
+        if value is None:
+            return part.withColumn(out, F.row_number().over(earlier).cast("bigint") - 1)
+        before = F.sum(amount).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+        return part.withColumn(out, F.coalesce(before, F.lit(0)))
+
+    def sliced(part: DataFrame) -> DataFrame:
+        slice_order = F.col(_SLICE).desc() if descending else F.col(_SLICE).asc()
+        before = Window.partitionBy(*keys).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
+        totals = part.groupBy(*keys, _SLICE).agg(F.sum(amount).alias("__total"))
+        offsets = totals.withColumn("__offset", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
+        joined = _join_slices(total(part, [*keys, _SLICE]), offsets, keys)
+        return joined.withColumn(out, F.col(out) + F.col("__offset")).drop(_SLICE, "__offset")
+
+    source = df if value is None else df.withColumn("__value", value.cast("bigint"))
+    return _windowed(source, keys, order, lambda part: total(part, keys), sliced).drop("__value")
 
 
 def neighbour(
@@ -196,21 +138,20 @@ def neighbour(
     following: bool = False,
 ) -> DataFrame:
     """Adds ``columns`` (new name -> source column) from the previous or following row of the group."""
-    parts = chunked(df, keys, order)
-    ordered = Window.partitionBy(*keys, *([_CHUNK] if parts.split else [])).orderBy(*order)
-    shift = F.lead if following else F.lag
-    result = parts.df
-    if not parts.split:
-        return result.withColumns({new: shift(old).over(ordered) for new, old in columns.items()}).drop(_CHUNK)
-    own = {new: shift(old).over(ordered) for new, old in columns.items()}
-    result = result.withColumns({**own, "__inner": shift(F.lit(True)).over(ordered)})
-    pick = F.min_by if following else F.max_by
-    edge = parts.df.groupBy(*keys, _CHUNK).agg(
-        pick(F.struct(*[F.col(old).alias(new) for new, old in columns.items()]), F.struct(*order)).alias("__edge")
-    )
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
-    edge = edge.withColumn("__edge", shift("__edge").over(across))
-    result = _join_chunks(result, edge, keys)
-    for new in columns:
-        result = result.withColumn(new, F.when(F.col("__inner"), F.col(new)).otherwise(F.col(f"__edge.{new}")))
-    return result.drop(_CHUNK, "__edge", "__inner")
+    shift, edge_row = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+
+    def whole(part: DataFrame) -> DataFrame:
+        ordered = Window.partitionBy(*keys).orderBy(*order)
+        return part.withColumns({new: shift(old).over(ordered) for new, old in columns.items()})
+
+    def sliced(part: DataFrame) -> DataFrame:
+        ordered = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+        inner = part.withColumns({**{new: shift(old).over(ordered) for new, old in columns.items()}, "__inner": shift(F.lit(True)).over(ordered)})
+        facing = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
+        edges = part.groupBy(*keys, _SLICE).agg(edge_row(facing, F.struct(*order)).alias("__edge"))
+        edges = edges.withColumn("__edge", shift("__edge").over(Window.partitionBy(*keys).orderBy(_SLICE)))
+        joined = _join_slices(inner, edges, keys)
+        picked = {new: F.when(F.col("__inner"), F.col(new)).otherwise(F.col(f"__edge.{new}")) for new in columns}
+        return joined.withColumns(picked).drop(_SLICE, "__edge", "__inner")
+
+    return _windowed(df, keys, order, whole, sliced)

@@ -26,14 +26,16 @@ def tables(spark):
 
 @pytest.fixture
 def chunking(spark):
-    """Treats every group with more than five rows as hot."""
+    """Treats every group with more than five rows as hot and keeps the slices small."""
     from ratelattice import skew
 
     values = {
-        skew.CHECK_BYTES: "0", skew.MAX_GROUP_ROWS: "5", skew.MAX_CHUNKS: "16", skew.TABLE_BYTES: "0", skew.TABLE_CHUNK_ROWS: "5",
+        skew.CHECK_BYTES: "0", skew.TABLE_BYTES: "0", skew.MAX_GROUP_ROWS: "5",
+        "spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
+    before = {key: spark.conf.get(key, None) for key in values}
     for key, value in values.items():
         spark.conf.set(key, value)
     yield
-    for key in values:
-        spark.conf.unset(key)
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -23,16 +23,18 @@ def table(df, *columns):
     return sorted(map(tuple, df.select(*columns).collect()), key=repr)
 
 
-def test_hot_group_is_found_and_split(events, chunking):
-    parts = skew.chunked(events, ["g"], ["ts", "id"])
-    assert parts.split
-    sizes = parts.df.filter("g = 0").groupBy("__chunk").count().collect()
-    assert len(sizes) > 8
-    assert max(r["count"] for r in sizes) < 300
+def test_hot_group_is_found_and_sliced(events, spark, chunking):
+    spark.conf.set(skew.MAX_GROUP_ROWS, "500")
+    hot = skew.hot_groups(events, ["g"])
+    zero = spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint"))).first()[0]
+    assert hot == {zero: 1000}
+    sizes = skew.slices(events.filter("g = 0"), ["g", "ts", "id"]).groupBy("__slice").count().collect()
+    assert len(sizes) == 12
+    assert max(r["count"] for r in sizes) < 200
 
 
 def test_small_input_is_left_alone(events):
-    assert not skew.chunked(events, ["g"], ["ts", "id"]).split
+    assert skew.is_small(events)
 
 
 @pytest.mark.parametrize("descending", [False, True])
