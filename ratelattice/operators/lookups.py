@@ -1,4 +1,4 @@
-"""Keyed reads of the reference tables, for whole tables or frames of ids."""
+"""Keyed reads of the tables, for whole tables or frames of ids."""
 
 from __future__ import annotations
 

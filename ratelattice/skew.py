@@ -66,8 +66,13 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
 
 
 def slices(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The rows with a slice number that rises along ``by``; AQE keeps the slices at a fair size."""
-    return keep(df.repartitionByRange(*by).withColumn(_SLICE, F.spark_partition_id()), "slices")
+    """The rows with a slice number that rises along ``by``; AQE keeps the slices at a fair size.
+
+    Range partitioning samples its input before it moves it, so that is written first: the
+    sample then reads only the columns of ``by``, and ``df`` is computed once.
+    """
+    ranged = keep(df, "rows").repartitionByRange(*by)
+    return keep(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
 def _windowed(
