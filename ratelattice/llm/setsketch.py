@@ -191,7 +191,7 @@ def _compare_blocks(threshold: float) -> Callable:
             forest, pairs = Forest(len(n)), []
             for i in range(len(n) - 1):
                 other = np.arange(i + 1, len(n))
-                other = other[(piece[other] != piece[i]) & (~crossing | (part[other] != part[i]))]
+                other = other[(piece[other] != piece[i]) & (np.bool_(not crossing) | (part[other] != part[i]))]
                 if len(other):
                     stay = plausible(regs[other], np.broadcast_to(regs[i], (len(other), regs.shape[1])), n[other], np.full(len(other), n[i]), threshold)
                     pairs += [(i, int(j)) for j in other[stay] if forest.union(i, int(j))]
