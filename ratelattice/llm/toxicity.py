@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -245,10 +246,10 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
 
     The evidence holds the doc_ids of the nearest examples, nearest first.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by ``examples`` and ``terms``
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))  # bounded by ``examples`` and ``terms``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
+        index = cloudpickle.loads(sent.value)
         useful = _TermCache(index.number)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
