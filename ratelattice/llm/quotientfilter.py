@@ -159,7 +159,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     number = F.coalesce(F.col("doc_id"), -1 - F.col("row_id"))
     wanted = routed.select("doc_id").filter("doc_id is not null").distinct()
     normal = F.encode(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", ""), "UTF-8")
-    known = rows.join(wanted, "doc_id").select("doc_id", normal.alias("normal"))
+    known = rows.join(wanted.hint("merge"), "doc_id").select("doc_id", normal.alias("normal"))
     nameless = rows.filter("doc_id is null").select("doc_id", normal.alias("normal"))
     texts = known.union(nameless).withColumn("text_sha256", F.sha2("normal", 256))
     texts = texts.withColumnRenamed("doc_id", "text_of").dropDuplicates(["text_of", "text_sha256"])
