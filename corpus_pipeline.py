@@ -42,7 +42,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     stays = quotientfilter.exact_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
     hashed = docs.withColumn("__of", F.sha2(F.encode(normal, "UTF-8"), 256))
-    met = hashed.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha")))
+    met = hashed.join(stays.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha")))
     longest = Window.partitionBy("__id", "__sha").orderBy(F.desc(F.char_length("text")), "source", "lang")
     return met.withColumn("__nth", F.row_number().over(longest)).filter("__nth = 1").select(_columns(docs))
 
@@ -51,7 +51,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near-duplicates stays: five-word shingles, resemblance 0.8 or more."""
     found = setsketch.near_duplicates(docs, words=5, num=80, den=100)
     stays = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    met = docs.filter("doc_id is not null").join(stays, F.col("doc_id") == F.col("__id"))
+    met = docs.filter("doc_id is not null").join(stays.hint("merge"), F.col("doc_id") == F.col("__id"))
     return _ranked(met, "__id").filter("__nth = 1").select(_columns(docs)).unionByName(docs.filter("doc_id is null"))
 
 
@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = pivotal.mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
     taken = taken.filter(F.get("__copies", F.lit(0)) > 0)
     hashed = docs.withColumn("__of", F.xxhash64(F.col("text").cast("string")))
-    met = hashed.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__hash")))
+    met = hashed.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__hash")))
     nth = _ranked(met, "__id", "__hash").withColumn("__n", F.get("__copies", F.col("__nth") - 1)).filter("__n > 0")
     return nth.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).select(_columns(docs))
 

@@ -282,7 +282,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sizes = keep(pieces.groupBy("component").agg(F.count("*").alias("size")), "sizes")
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
-    held = texts.join(pieces, "node").select("node", F.col("component").alias("piece"), "text")
+    held = texts.join(pieces.hint("merge"), "node").select("node", F.col("component").alias("piece"), "text")
     sets = keep(held.mapInArrow(_shingle_rows(words), "node bigint, piece bigint, shingles binary"), "sets")
     sized = sets.filter(F.length("shingles") > 0).join(sizes.withColumnRenamed("component", "piece"), "piece")
     cut = blocks(sized, "piece", "node", "size", 128, 2048)
