@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from ratelattice.sources.kept import keep
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 2_000, 15, 64
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 2_000, 15, 128
+CALIBRATED = 2_000  # examples whose own votes calibrate the score
 LEAST_DOCS, LEAST_RATIO = 4, 25.0  # of a term: toxic examples, likelihood ratio
 _PREFIXES = (4, 5, 6)
 _WORDS = re.compile(r"[^\W\d_]{2,}")
@@ -52,7 +53,7 @@ class Index:
     k: int = NEIGHBOURS
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     names: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    postings: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = field(default_factory=dict)
+    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by block: its terms, their weights in each example
     most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     empty_share: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
@@ -70,37 +71,40 @@ class Index:
         return {t: v / norm for t, v in sorted(raw.items())}
 
     def build(self, vectors: list[dict[int, float]], labels: list[int], names: list[int]) -> None:
+        """Examples with the same strongest terms share blocks, which keeps the bounds close."""
         self.labels, self.names = np.array(labels, dtype=np.float64), np.array(names, dtype=np.int64)
         self.most = np.zeros((len(self.number), -(-len(vectors) // BLOCK)))
-        held: dict[int, dict[int, tuple[list[int], list[float]]]] = {}
-        for i, vector in enumerate(vectors):
-            for term, value in vector.items():
-                at, values = held.setdefault(term, {}).setdefault(i // BLOCK, ([], []))
-                at.append(i % BLOCK)
-                values.append(value)
-                self.most[term, i // BLOCK] = max(self.most[term, i // BLOCK], value)
-        self.postings = {t: {b: (np.array(at), np.array(v)) for b, (at, v) in by.items()} for t, by in held.items()}
+        self.postings = []
+        for start in range(0, len(vectors), BLOCK):
+            part = vectors[start : start + BLOCK]
+            terms = np.array(sorted({t for v in part for t in v}), dtype=np.int64)
+            place = {t: i for i, t in enumerate(terms.tolist())}
+            weights = np.zeros((len(terms), BLOCK))
+            for i, vector in enumerate(part):
+                weights[[place[t] for t in vector], i] = list(vector.values())
+            self.most[terms, start // BLOCK] = weights.max(axis=1)
+            self.postings.append((terms, weights))
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and similarities of the k most similar examples (ties: the earlier one)."""
-        terms = list(vector)
-        bounds = np.array([vector[t] for t in terms]) @ self.most[terms]
+        """Positions and similarities of the k most similar examples (ties: the earlier one), most similar first."""
+        query = np.zeros(len(self.number))
+        query[list(vector)] = list(vector.values())
+        bounds = query[list(vector)] @ self.most[list(vector)]
         found, values, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
         for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(found) >= self.k and bounds[block] < least - 1e-12:
+            if bounds[block] <= 0 or bounds[block] < least - 1e-12:
                 break
-            scores = np.zeros(BLOCK)
-            for term in terms:
-                if posting := self.postings.get(term, {}).get(int(block)):
-                    scores[posting[0]] += vector[term] * posting[1]
-            hits = np.flatnonzero(scores > 0)
-            hits = hits[hits + block * BLOCK != without]
-            found, values = np.concatenate([found, hits + block * BLOCK]), np.concatenate([values, scores[hits]])
-            if len(found) > self.k:
-                order = np.lexsort((found, -np.round(values, 12)))[: self.k]
-                found, values = found[order], values[order]
-            least = values.min() if len(found) >= self.k else 0.0
-        return found, values
+            terms, weights = self.postings[block]
+            scores = query[terms] @ weights
+            hits = np.flatnonzero(scores > max(least - 1e-12, 0))
+            values = np.concatenate([values, scores[hits]])
+            found = np.concatenate([found, hits + block * BLOCK])
+            if without >= 0:
+                values, found = values[found != without], found[found != without]
+            if len(values) >= self.k:
+                least = np.partition(values, -self.k)[-self.k]
+        order = np.lexsort((found, -np.round(values, 12)))[: self.k]
+        return found[order], values[order]
 
     def vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray]:
         """Share of toxic neighbours, weighted by similarity and class, and the neighbours."""
@@ -196,8 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     index.number = {t: i for i, t in enumerate(picked)}
 
     rows = sample.mapInArrow(_vectors(index), "doc_id bigint, toxic int, terms array<int>, weights array<double>").collect()
-    rows.sort(key=lambda r: r["doc_id"])
     full = [r for r in rows if r["terms"]]
+    full.sort(key=lambda r: ([t for _, t in sorted(zip(r["weights"], r["terms"], strict=True), reverse=True)[:3]], r["doc_id"]))
     index.build([dict(zip(r["terms"], r["weights"], strict=True)) for r in full], [r["toxic"] for r in full], [r["doc_id"] for r in full])
     # an example of the rarer label stands for fewer rows
     index.weight = (totals[0] / n_other) / (totals[1] / n_toxic)
@@ -205,8 +209,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     mass = (empty[1] + 0.5) + (empty[0] + 0.5) * index.weight
     index.empty_share = (empty[1] + 0.5) / mass
     if full:
-        votes = np.array([index.vote(dict(zip(r["terms"], r["weights"], strict=True)), i)[0] for i, r in enumerate(full)])
-        index.fit_curve(votes, index.labels, np.where(index.labels > 0, 1.0, index.weight))
+        probes = range(0, len(full), -(-len(full) // CALIBRATED))
+        votes = np.array([index.vote(dict(zip(full[i]["terms"], full[i]["weights"], strict=True)), i)[0] for i in probes])
+        truth = index.labels[list(probes)]
+        index.fit_curve(votes, truth, np.where(truth > 0, 1.0, index.weight))
     return index
 
 
