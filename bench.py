@@ -2,7 +2,8 @@
 
 The rate tables are derived from $BENCH_SF_DIR and stored as Parquet first
 (``setup_sec``); each query then runs over the stored tables, every column of
-its result computed.  Per query the better of two runs counts.
+its result computed.  Per query the better of two runs counts.  $BENCH_FOLDER
+names the folder of the stored tables, which a cluster has to share.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", int(cpus), **{"spark.driver.memory": "16g"})
-    folder = tempfile.mkdtemp(prefix="bench-")
+    folder = os.environ.get("BENCH_FOLDER") or tempfile.mkdtemp(prefix="bench-")
 
     start = time.perf_counter()
     store_tables(DerivedTables(spark, sf_dir), folder)

@@ -141,7 +141,10 @@ def column_axis(tables: RateTables) -> DataFrame:
 
 
 def header_rows(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool = False) -> DataFrame:
-    """Base-rate row and the rows of this and the next quarter, one cell per product line."""
+    """Base-rate row and the rows of this and the next quarter, one cell per category and product-line code.
+
+    Where several lines of a category share a code, the one with the highest id shows.
+    """
     now = _today(today)
     none = F.lit(None).cast("decimal(18,4)")
     this_quarter = F.quarter(now)
@@ -151,9 +154,12 @@ def header_rows(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool = Fal
         F.struct(S.effective_title(now, 0, wrap).alias("row_title"), this_quarter.cast("string").alias("quarter"), none.alias("value")),
         F.struct(S.effective_title(now, 1, wrap).alias("row_title"), next_quarter.cast("string").alias("quarter"), none.alias("value")),
     )
-    return _active_lines(tables).join(_shown_sub_categories(tables), "sub_category_id").select(
+    shown = _active_lines(tables).join(_shown_sub_categories(tables), "sub_category_id").withColumn("code", S.strip_quotes(F.col("code")))
+    line = F.struct("product_line_id", "sub_category_id", "base_rate")
+    last = shown.groupBy("category_id", "code").agg(F.max_by(line, "product_line_id").alias("line"))
+    return last.select("category_id", "code", "line.*").select(
         "category_id",
-        S.strip_quotes(F.col("code")).alias("code"),
+        "code",
         F.col("sub_category_id").alias("business_sub_category_id"),
         "product_line_id",
         F.inline(rows),
@@ -187,7 +193,7 @@ def header_rows_json(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool
     """The header rows as JSON documents, one per category, row and sub-category, keyed by code.
 
     A sub-category with many lines is written in segments of at most 1024
-    lines; a line whose code repeats an earlier one shows in its place.
+    line ids.  Repeated codes are settled per category before that.
     """
     value = F.struct(
         "quarter",
@@ -196,9 +202,7 @@ def header_rows_json(tables: RateTables, today: str = DEFAULT_TODAY, wrap: bool
     )
     group = ["category_id", "row_title", "business_sub_category_id", "segment"]
     segment = F.floor((F.col("product_line_id") - 1) / SEGMENT_LINES).alias("segment")
-    cells = header_rows(tables, today, wrap).select("*", segment).groupBy(*group, "code").agg(
-        F.max_by(value, "product_line_id").alias("cell")
-    )
+    cells = header_rows(tables, today, wrap).select("*", segment, value.alias("cell"))
     nested = cells.groupBy(*group).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "cell")))).alias("cells"))
     return nested.select(*group, F.to_json(F.struct(F.col("row_title").alias("baserate"), "cells")).alias("doc"))
 
@@ -298,19 +302,23 @@ def orphan_entries(entries: DataFrame, product_lines: DataFrame) -> DataFrame:
     return entries.join(lines, "product_line_id", "left_anti").select(F.col("id").alias("rate_entry_id"), "product_line_id")
 
 
-def row_tree_pivot(tables: RateTables, codes: Sequence[str]) -> DataFrame:
-    """One row per node with cells, one rate column per listed product-line code.
+def code_axis(tables: RateTables) -> DataFrame:
+    """Every product-line code with its number in code order, from 0."""
+    codes = tables.product_line.select(S.strip_quotes(F.col("code")).alias("code")).distinct()
+    return running_total(codes, [], ["code"], "number")
+
+
+def row_tree_pivot(tables: RateTables, width: int = 8) -> DataFrame:
+    """Nodes with cells down, all product-line codes across, in bands of ``width`` columns r0, r1 ...
 
-    Fixed-width aggregates, so a node quoted by very many lines is combined
-    before the shuffle.  If two lines share a code the later entry shows.
-    For all codes at once use ``row_tree_cells`` or ``group_tree_json``.
+    Column i of a band holds the code numbered band * width + i by ``code_axis``; a band without
+    cells of a node has no row.  Fixed-width aggregates, so a node quoted by very many lines is
+    combined before the shuffle.  If two lines share a code the later entry shows.
     """
-    cells = row_tree_cells(tables)
-    columns = [
-        F.max_by(F.when(F.col("code") == c, F.col("rate")), F.when(F.col("code") == c, F.col("rate_entry_id"))).alias(c)
-        for c in codes
-    ]
-    return cells.groupBy("level", "node_id").agg(*columns)
+    cells = row_tree_cells(tables).join(code_axis(tables), "code")
+    slot = F.col("number") % width
+    columns = [F.max_by(F.when(slot == i, F.col("rate")), F.when(slot == i, F.col("rate_entry_id"))).alias(f"r{i}") for i in range(width)]
+    return cells.groupBy("level", "node_id", F.floor(F.col("number") / width).alias("band")).agg(*columns)
 
 
 def group_tree_json(tables: RateTables, today: str = DEFAULT_TODAY) -> DataFrame:
@@ -318,7 +326,9 @@ def group_tree_json(tables: RateTables, today: str = DEFAULT_TODAY) -> DataFrame
 
     The cells of a node are nested by product-line code.  A node quoted by
     many lines is written in segments of at most 1024 consecutive product-line
-    ids, so no document grows with the table; segment 0 always exists.
+    ids, so no document grows with the table; segment 0 always exists.  Of the
+    cells of a node that share a code the one with the highest entry id shows,
+    settled before the segments are cut.
     """
     keys = row_tree_keys(tables)
     value = F.struct(
@@ -328,9 +338,8 @@ def group_tree_json(tables: RateTables, today: str = DEFAULT_TODAY) -> DataFrame
         F.col("rate_entry_id").alias("rateEntryId"),
         F.col("product_line_id").alias("productLineId"),
     )
-    latest = row_tree_cells(tables, today).groupBy(
-        "level", "node_id", F.floor((F.col("product_line_id") - 1) / SEGMENT_LINES).alias("segment"), "code"
-    ).agg(F.max_by(value, "rate_entry_id").alias("cell"))
+    latest = row_tree_cells(tables, today).groupBy("level", "node_id", "code").agg(F.max_by(value, "rate_entry_id").alias("cell"))
+    latest = latest.withColumn("segment", F.floor((F.col("cell.productLineId") - 1) / SEGMENT_LINES))
     nested = latest.groupBy("level", "node_id", "segment").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "cell")))).alias("cells")
     )

@@ -28,7 +28,11 @@ def rate_matrix_asof(tables: RateTables, as_of: str = DEFAULT_AS_OF) -> DataFram
     )
 
 
-def matrix_sheet(matrix: DataFrame, columns: list[int]) -> DataFrame:
-    """Wide form of the matrix for an explicit list of column numbers."""
-    wide = matrix.groupBy("row_no")
-    return wide.agg(*[F.max(F.when(F.col("col_no") == c, F.col("rate"))).alias(f"c{c}") for c in columns])
+def matrix_sheet(matrix: DataFrame, width: int = 8) -> DataFrame:
+    """Wide form of the matrix in bands of ``width`` columns: c1 of band b is matrix column b * width + 1.
+
+    A band without cells of a row has no row of its own.
+    """
+    slot = (F.col("col_no") - 1) % width
+    columns = [F.max(F.when(slot == i, F.col("rate"))).alias(f"c{i + 1}") for i in range(width)]
+    return matrix.groupBy("row_no", F.floor((F.col("col_no") - 1) / width).alias("band")).agg(*columns)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from ratelattice.plans.queries import MOMENTS, PIVOT_CODES, SEARCHES
+from ratelattice.plans.queries import MOMENTS, SEARCHES
 
 TABLES = {
     "business_category": """
@@ -279,9 +279,9 @@ _q = "quarter(o_orderdate)"
 
 QUERIES = {
     "rate_matrix_asof": "SELECT * FROM matrix",
-    "rate_matrix_sheet": "SELECT row_no, "
-    + ", ".join(f"max(CASE WHEN col_no = {c} THEN rate END) AS c{c}" for c in range(1, 9))
-    + " FROM matrix GROUP BY row_no",
+    "rate_matrix_sheet": "SELECT row_no, (col_no - 1) // 8 AS band, "
+    + ", ".join(f"max(CASE WHEN (col_no - 1) % 8 = {c - 1} THEN rate END) AS c{c}" for c in range(1, 9))
+    + " FROM matrix GROUP BY row_no, band",
     "rate_asof": "SELECT * FROM asof_rate",
     "rate_asof_multi": f"""
 SELECT m.as_of, rate_entry_id, arg_max(rate, (created_on, id)) AS rate
@@ -348,9 +348,10 @@ WHERE parent_id = first_parent"""
     "row_tree": "SELECT category_id, level, id, parent_id, name FROM tree",
     "row_tree_cells": "SELECT * FROM tree_cells",
     "row_tree_keys": "SELECT * FROM tree_keys",
-    "row_tree_pivot": "SELECT level, node_id, "
-    + ", ".join(f"arg_max(rate, rate_entry_id) FILTER (code = '{c}') AS \"{c}\"" for c in PIVOT_CODES)
-    + " FROM tree_cells GROUP BY level, node_id",
+    "row_tree_pivot": "SELECT level, node_id, number // 8 AS band, "
+    + ", ".join(f"arg_max(rate, rate_entry_id) FILTER (number % 8 = {c}) AS r{c}" for c in range(8))
+    + """ FROM tree_cells JOIN (SELECT code, dense_rank() OVER (ORDER BY code) - 1 AS number FROM (SELECT DISTINCT replace(code, '"', '') AS code FROM product_line)) USING (code)
+GROUP BY level, node_id, band""",
     "group_tree_json": """
 SELECT category_id, key, segment, '{"key":' || key || ',"level":' || level || ',"id":' || id || ',"isActive":1,"baserate":"' || name || '","cells":{' || coalesce(cells, '') || '}}' AS doc
 FROM (
@@ -358,7 +359,7 @@ FROM (
   FROM (SELECT * FROM tree_keys WHERE kind = 'node') k LEFT JOIN (
     SELECT level, node_id, (product_line_id - 1) // 1024 AS segment, string_agg('"' || code || '":{"quarter":' || quarter || ',"value":[' || rate
            || '],"businessSubCategoryId":' || business_sub_category_id || ',"rateEntryId":' || rate_entry_id || ',"productLineId":' || product_line_id || '}', ',' ORDER BY code) AS cells
-    FROM tree_cells GROUP BY ALL) s ON s.level = k.level AND s.node_id = k.id)
+    FROM (SELECT * FROM tree_cells QUALIFY row_number() OVER (PARTITION BY level, node_id, code ORDER BY rate_entry_id DESC) = 1) GROUP BY ALL) s ON s.level = k.level AND s.node_id = k.id)
 UNION ALL
 SELECT category_id, key, 0, '{"key":' || key || ',"level":' || level || ',"parentId":' || id || ',"baserate":"' || name || '"}' FROM tree_keys WHERE kind = 'placeholder'""",
     "header_rows": """
@@ -366,7 +367,8 @@ SELECT s.business_category_id AS category_id, replace(p.code, '"', '') AS code,
        CASE WHEN v.quarter = '' THEN p.base_rate END AS value
 FROM product_line p JOIN business_sub_category s ON s.id = p.business_sub_category_id AND s.is_active = 1,
      (VALUES ('BASE RATES FY24', ''), ('Effective APR-JUN 2024 (Q2)', '2'), ('Effective JUL-SEP 2024 (Q3)', '3')) v(row_title, quarter)
-WHERE p.is_active = 1""",
+WHERE p.is_active = 1
+QUALIFY row_number() OVER (PARTITION BY s.business_category_id, replace(p.code, '"', ''), v.quarter ORDER BY p.id DESC) = 1""",
     "header_spans": """
 SELECT 'category' AS level, category_id AS id, name, CAST(1 + coalesce(sum(n) OVER (ORDER BY category_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_col,
        CAST(sum(n) OVER (ORDER BY category_id) AS BIGINT) AS last_col FROM category_sizes
@@ -429,9 +431,28 @@ SELECT level, id, arg_max(name, (req_ts, req_id)) AS name FROM rename_request r
     "add_rate_entries": "SELECT req_id, outcome, reason, rate_entry_id FROM add_numbered",
     "update_rate_entries": "SELECT req_id, CASE WHEN reason IS NULL THEN 'UPDATE' ELSE 'REJECT' END AS outcome, reason, old_rate, rate FROM update_done",
     "change_log_append": """
-SELECT rate_entry_id, attachment_id, rate, old_rate, note FROM update_done WHERE reason IS NULL
-UNION ALL SELECT rate_entry_id, 1, rate, rate, NULL FROM add_numbered WHERE outcome = 'INSERT'""",
+SELECT m.top + row_number() OVER (ORDER BY created_on, kind, req_id) AS id, attachment_id, 'system' AS created_by, created_on, rate, old_rate, rate_entry_id, note
+FROM (SELECT 0 AS kind, req_id, req_ts AS created_on, rate_entry_id, attachment_id, rate, old_rate, note FROM update_done WHERE reason IS NULL
+      UNION ALL SELECT 1, req_id, req_ts, rate_entry_id, 1, rate, rate, NULL FROM add_numbered WHERE outcome = 'INSERT'), (SELECT max(id) AS top FROM rate_change_log) m""",
+    "rate_asof_after_updates": """
+SELECT rate_entry_id, arg_max(rate, (req_ts, req_id)) AS rate FROM update_done WHERE reason IS NULL GROUP BY rate_entry_id""",
+    "mutation_outcomes": f"""
+SELECT 'patch_line' AS kind, req_id, CASE WHEN e IS NULL THEN 'PATCH' ELSE 'REJECT' END AS outcome, e AS error,
+       CASE WHEN e IS NULL THEN 'PL with id : ' || product_line_id || ' has been successfully updated !'
+            WHEN e = 'NOT_FOUND' THEN 'Update failed, PL with id : ' || product_line_id || ' doesn''t exist !' ELSE e END AS message
+FROM (SELECT *, coalesce(error, CASE WHEN product_line_id NOT IN (SELECT id FROM product_line) THEN 'NOT_FOUND' END) AS e FROM patch_line_checked)
+UNION ALL
+SELECT 'delete_line', c_custkey, CASE WHEN known THEN 'DELETE' ELSE 'REJECT' END, CASE WHEN NOT known THEN 'NOT_FOUND' END,
+       CASE WHEN known THEN 'PL with id : ' || c_custkey + 1 || ' has been successfully deleted !' ELSE 'Deletion failed, PL not found for id : ' || c_custkey + 1 END
+FROM (SELECT c_custkey, c_custkey + 1 IN (SELECT id FROM product_line) AS known FROM customer WHERE c_acctbal < 0)
+UNION ALL
+SELECT 'rename', req_id, CASE WHEN e IS NULL THEN 'RENAME' ELSE 'REJECT' END, e,
+       CASE WHEN e IS NULL THEN {_NOUN} || ' with id : ' || id || ' has been successfully updated !'
+            WHEN e = 'NOT_FOUND' THEN 'Update failed, ' || {_NOUN} || ' with id : ' || id || ' doesn''t exist !' ELSE e END
+FROM (SELECT r.*, CASE WHEN trim(r.name) = '' THEN 'NAME_BLANK' WHEN n.id IS NULL THEN 'NOT_FOUND' END AS e
+      FROM rename_request r LEFT JOIN all_nodes n ON n.level = r.level AND n.id = r.id)""",
     "audit_rows": f"""
+SELECT '' AS ip, 'system' AS username, TIMESTAMP '2024-05-15 00:00:00' AS create_time, a.* FROM (
 SELECT '/product-lines' AS endpoint, 'POST' AS type, CASE WHEN outcome = 'REJECT' THEN 'FAILURE' ELSE 'SUCCESS' END AS status,
        CASE WHEN outcome = 'INSERT' THEN 'PL with code : ' || code || ' and id : ' || id || ' has been successfully created !'
             WHEN outcome = 'REACTIVATE' THEN 'PL with code : ' || code || ' and id : ' || id || ' has been successfully reactivated !'
@@ -445,8 +466,19 @@ UNION ALL
 SELECT '/nodes', 'DELETE', 'SUCCESS', {_NOUN} || ' with id : ' || id || ' has been successfully deleted !' FROM deleted
 UNION ALL
 SELECT '/nodes', 'DELETE', 'FAILURE', 'Deletion failed, ' || {_NOUN} || ' not found for id : ' || id FROM delete_request r
-WHERE NOT EXISTS (SELECT 1 FROM all_nodes n WHERE n.level = r.level AND n.id = r.id)""",
+WHERE NOT EXISTS (SELECT 1 FROM all_nodes n WHERE n.level = r.level AND n.id = r.id)
+UNION ALL
+SELECT CASE kind WHEN 'rename' THEN '/nodes' ELSE '/product-lines' END, CASE kind WHEN 'delete_line' THEN 'DELETE' ELSE 'PATCH' END,
+       CASE WHEN error IS NULL THEN 'SUCCESS' ELSE 'FAILURE' END, message FROM (mutation_outcomes_here)
+UNION ALL
+SELECT '/rates', 'PUT', CASE WHEN reason IS NULL THEN 'SUCCESS' ELSE 'FAILURE' END,
+       CASE WHEN reason IS NULL THEN 'Rate Entry with id : ' || rate_entry_id || ' has been successfully updated !'
+            WHEN reason = 'NOT_FOUND' THEN 'Rate Entry with id : ' || rate_entry_id || ' does not exist !' ELSE reason END FROM update_done
+UNION ALL
+SELECT '/rates', 'POST', CASE WHEN outcome = 'INSERT' THEN 'SUCCESS' ELSE 'FAILURE' END,
+       CASE WHEN outcome = 'INSERT' THEN 'Rate Entry with id : ' || rate_entry_id || ' has been successfully created !' ELSE reason END FROM add_numbered) a""",
 }
+QUERIES["audit_rows"] = QUERIES["audit_rows"].replace("mutation_outcomes_here", QUERIES["mutation_outcomes"])
 
 
 def _column_tree(icons: bool) -> str:

@@ -14,7 +14,6 @@ from ratelattice.sources import sheets
 from ratelattice.sources.tables import RateTables
 
 MOMENTS = [f"{year}-06-30 23:59:00" for year in range(1993, 2001)]
-PIVOT_CODES = [f"Supplier#{n:09d}" for n in range(10)]
 SEARCHES = ["mall", "band-2", "SUB GROUP"]
 
 Plan = Callable[[RateTables], DataFrame]
@@ -33,7 +32,7 @@ def rate_matrix_asof(t):
 
 @plan
 def rate_matrix_sheet(t):
-    return matrix.matrix_sheet(matrix.rate_matrix_asof(t), list(range(1, 9)))
+    return matrix.matrix_sheet(matrix.rate_matrix_asof(t))
 
 
 @plan
@@ -198,7 +197,7 @@ def row_tree_keys(t):
 
 @plan
 def row_tree_pivot(t):
-    return hierarchy.row_tree_pivot(t, PIVOT_CODES)
+    return hierarchy.row_tree_pivot(t)
 
 
 @plan
@@ -360,7 +359,16 @@ def update_rate_entries(t):
 def change_log_append(t):
     updates = admission.update_rate_entries(t, R.update_rate_requests(t))
     adds = admission.add_rate_entries(t, R.add_rate_requests(t))
-    return admission.change_log_rows(updates, adds).drop("created_on")
+    return admission.change_log_rows(t.rate_change_log, updates, adds)
+
+
+@plan
+def rate_asof_after_updates(t):
+    """As-of over the old and the appended log; equals the applied state of the updated entries."""
+    updates = admission.update_rate_entries(t, R.update_rate_requests(t))
+    log = t.rate_change_log.unionByName(admission.change_log_rows(t.rate_change_log, updates))
+    touched = updates.filter(F.col("outcome") == admission.UPDATE).select("rate_entry_id").distinct()
+    return history.rate_asof(log, "9999-12-31 00:00:00").join(touched, "rate_entry_id", "left_semi").select("rate_entry_id", "rate")
 
 
 @plan
@@ -369,8 +377,32 @@ def audit_rows(t):
     lines = mutations.upsert_product_lines(t.product_line, R.add_line_requests(t))
     upserts = mutations.upsert_nodes(nodes, R.node_requests(t))
     deletes = mutations.delete_outcomes(nodes, R.delete_node_requests(t, nodes))
+    patches = mutations.patch_outcomes(t.product_line, R.patch_line_requests(t))
+    gone = mutations.line_delete_outcomes(t.product_line, R.delete_line_requests(t))
+    renames = mutations.rename_outcomes(nodes, R.rename_requests(t))
+    updates = admission.update_rate_entries(t, R.update_rate_requests(t))
+    adds = admission.add_rate_entries(t, R.add_rate_requests(t))
+    day = F.expr(R.BATCH_DAY)
     return (
-        mutations.audit_rows(lines, "/product-lines", "POST")
-        .unionByName(mutations.audit_rows(upserts, "/nodes", "POST"))
-        .unionByName(mutations.audit_rows(deletes, "/nodes", "DELETE"))
+        mutations.audit_rows(lines, "/product-lines", "POST", at=day)
+        .unionByName(mutations.audit_rows(patches, "/product-lines", "PATCH", at=day))
+        .unionByName(mutations.audit_rows(gone, "/product-lines", "DELETE", at=day))
+        .unionByName(mutations.audit_rows(upserts, "/nodes", "POST", at=day))
+        .unionByName(mutations.audit_rows(renames, "/nodes", "PATCH", at=day))
+        .unionByName(mutations.audit_rows(deletes, "/nodes", "DELETE", at=day))
+        .unionByName(mutations.audit_rows(updates, "/rates", "PUT", at=day))
+        .unionByName(mutations.audit_rows(adds, "/rates", "POST", at=day))
     )
+
+
+@plan
+def mutation_outcomes(t):
+    """One row per request of the mutations whose own results are tables."""
+    nodes = lookups.all_nodes(t)
+    parts = {
+        "patch_line": mutations.patch_outcomes(t.product_line, R.patch_line_requests(t)),
+        "delete_line": mutations.line_delete_outcomes(t.product_line, R.delete_line_requests(t)),
+        "rename": mutations.rename_outcomes(nodes, R.rename_requests(t)),
+    }
+    named = [df.select(F.lit(kind).alias("kind"), "req_id", "outcome", "error", "message") for kind, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])

@@ -55,7 +55,8 @@ def patch_line_requests(tables: RateTables) -> DataFrame:
 
 def delete_line_requests(tables: RateTables) -> DataFrame:
     """Customers in debt close the line numbered like them."""
-    return tables.input("customer").filter("c_acctbal < 0").select((F.col("c_custkey") + 1).alias("product_line_id"))
+    debtors = tables.input("customer").filter("c_acctbal < 0")
+    return debtors.select(F.col("c_custkey").alias("req_id"), F.expr(BATCH_DAY).alias("req_ts"), (F.col("c_custkey") + 1).alias("product_line_id"))
 
 
 def node_requests(tables: RateTables) -> DataFrame:

@@ -18,6 +18,24 @@ TABLES = {
     "audit_log": "id bigint, ip string, username string, endpoint string, type string, status string, message string, create_time timestamp_ntz",
 }
 
+
+def fields(table: str) -> list[tuple[str, str]]:
+    """(column, type) of a stored table."""
+    return columns_of(TABLES[table])
+
+
+def columns_of(ddl: str) -> list[tuple[str, str]]:
+    """(column, type) of a DDL text."""
+    out, depth, start, ddl = [], 0, 0, ddl + ","
+    for i, ch in enumerate(ddl):
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 0:
+            column, kind = ddl[start:i].strip().split(" ", 1)
+            out.append((column, kind))
+            start = i + 1
+    return out
+
+
 # Layout of the star-schema inputs the tables above can be derived from.
 INPUTS = {
     "region": "r_regionkey int, r_name string",

@@ -7,7 +7,7 @@ partitions as it needs.  The partition number is written with the rows; the
 window then runs per (group, partition), and the slices of a group are stitched
 through one summary row each.
 
-Which groups count as hot and where the slices end only decides the layout:
+Groups are counted exactly, over one kept copy of the input.  Which groups count as hot and where the slices end only decides the layout:
 every choice yields the same rows.  Hot groups are looked up when the plan is
 built, and the slices are written to the shared folder, so a recomputed task
 sees the same ones.  Inputs below ``checkBytes`` (``tableBytes`` for numbering
@@ -17,6 +17,7 @@ without groups) skip all this: nothing in them can outgrow a task.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,6 @@ MAX_GROUP_ROWS = "ratelattice.skew.maxGroupRows"
 DEFAULTS = {CHECK_BYTES: 256 << 20, TABLE_BYTES: 32 << 20, MAX_GROUP_ROWS: 2_000_000}
 
 _SLICE = "__slice"
-_SKETCH_TOP, _SKETCH_TRACKED = 1000, 100_000
 
 
 def _setting(df: DataFrame, name: str) -> int:
@@ -50,19 +50,13 @@ def is_small(df: DataFrame, limit: str = CHECK_BYTES) -> bool:
     return size is not None and size < _setting(df, limit)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
-    """Hashes of the groups with more than ``maxGroupRows`` rows, and their row counts.
+def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The groups with more than ``maxGroupRows`` rows, as a kept table of their keys.
 
-    One pass over the key columns with a mergeable sketch; at most 1000
-    groups can come back, whatever the size of the table.
+    Exact counts, combined before the shuffle; however many groups are hot, none is left out.
     """
-    top = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {_SKETCH_TOP}, {_SKETCH_TRACKED})").alias("top"))
-        .first()["top"]
-    )
-    limit = _setting(df, MAX_GROUP_ROWS)
-    return {t["item"]: t["count"] for t in (top or []) if t["count"] > limit}
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return keep(counts.filter(F.col("__n") > _setting(df, MAX_GROUP_ROWS)).drop("__n"), "hot")
 
 
 def slices(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -83,11 +77,14 @@ def _windowed(
         return whole(df)
     if not keys:
         return sliced(slices(df, order))
+    df = keep(df, "windowed")
     hot = hot_groups(df, keys)
-    if not hot:
+    if hot.isEmpty():
         return whole(df)
-    in_hot = F.xxhash64(*keys).isin(list(hot))
-    return whole(df.filter(~in_hot)).unionByName(sliced(slices(df.filter(in_hot), [*keys, *order])))
+    named = hot.select(*[F.col(c).alias(f"__h_{c}") for c in keys])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__h_{c}")) for c in keys])
+    parts = [df.join(named, same, how) for how in ("left_anti", "left_semi")]
+    return whole(parts[0]).unionByName(sliced(slices(parts[1], [*keys, *order])))
 
 
 def _join_slices(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ input once, and a lost executor costs only the tasks at hand.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder where it is unset, as in tests."""
+    """``spark.checkpoint.dir``; a temporary folder where it is unset and the master is local, as in tests.
+
+    On a cluster there is no fallback: executors would each write to a disk of their own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="ratelattice-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

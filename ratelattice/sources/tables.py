@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratelattice.schemas import INPUTS, RATE, TABLES
+from ratelattice.schemas import INPUTS, RATE, TABLES, fields
 from ratelattice.skew import neighbour
 from ratelattice.sources.kept import keep
 
@@ -74,18 +74,7 @@ class JdbcTables(RateTables):
         if name in self.id_ranges:
             low, high, parts = self.id_ranges[name]
             reader = reader.options(partitionColumn="id", lowerBound=low, upperBound=high, numPartitions=parts)
-        fields = [f.strip().split(" ", 1) for f in _top_level_split(TABLES[name])]
-        return reader.load().select(*[F.col(c).cast(t).alias(c) for c, t in fields])
-
-
-def _top_level_split(ddl: str) -> list[str]:
-    fields, depth, start = [], 0, 0
-    for i, ch in enumerate(ddl):
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
-            fields.append(ddl[start:i])
-            start = i + 1
-    return [*fields, ddl[start:]]
+        return reader.load().select(*[F.col(c).cast(t).alias(c) for c, t in fields(name)])
 
 
 class DerivedTables(RateTables):
@@ -104,15 +93,14 @@ class DerivedTables(RateTables):
             "created_by": F.lit("loader"),
         }
         columns = []
-        for field in _top_level_split(TABLES[name]):
-            column, kind = field.strip().split(" ", 1)
+        for column, kind in fields(name):
             value = F.col(column) if column in df.columns else defaults.get(column, F.lit(None))
             columns.append(value.cast(kind).alias(column))
         return df.select(*columns)
 
     def _literal(self, name: str, rows: list[tuple]) -> DataFrame:
         text = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
-        columns = ", ".join(f.strip().split(" ", 1)[0] for f in _top_level_split(TABLES[name]))
+        columns = ", ".join(column for column, _ in fields(name))
         return self._conform(name, self.spark.sql(f"SELECT * FROM VALUES {text} AS t({columns})"))
 
     @cached_property
@@ -223,7 +211,10 @@ class DerivedTables(RateTables):
         """Every line item with its tree nodes, product line and packed ids."""
         nodes = self.part_nodes.select("p_partkey", "l2_id", "l3_id")
         base = self.input("lineitem").join(nodes, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
-        pl = F.col("l_suppkey") + 1
+        # an id outside its share of the packing fails instead of running into another's
+        too_high = F.raise_error(F.lit("product line or node ids exceed the packing of the derived entry ids"))
+        fits = (F.col("l_suppkey") + 1 < PRODUCT_LINE_SPAN) & (F.col("l3_id") < 2**62 // PRODUCT_LINE_SPAN)
+        pl = F.when(fits, F.col("l_suppkey") + 1).otherwise(too_high.cast("bigint"))
         slot = (F.col("l_partkey") * 1009 + F.col("l_suppkey") + F.col("l_quantity").cast("bigint") * 20011) % LINE_SLOTS
         line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * LINE_SLOTS + slot
         return base.withColumns(

@@ -42,9 +42,12 @@ def apply_epoch(base: RateTables, requests: DataFrame, epoch: int, target: str)
     folder = f"{target}/outcomes/epoch={epoch}"
     admission.update_rate_entries(tables, requests).write.mode("overwrite").parquet(folder)
     outcomes = base.spark.read.parquet(folder)
-    admission.change_log_rows(updates=outcomes).write.mode("overwrite").parquet(f"{target}/rate_change_log/epoch={epoch}")
-    audit = mutations.audit_rows(outcomes, "/rates", "PUT").withColumn("create_time", F.lit(None).cast("timestamp_ntz"))
-    audit.write.mode("overwrite").parquet(f"{target}/audit_log/epoch={epoch}")
+    log = base.rate_change_log
+    if epoch:
+        earlier = base.spark.read.schema(TABLES["rate_change_log"] + ", epoch bigint").parquet(f"{target}/rate_change_log")
+        log = log.unionByName(earlier.filter(F.col("epoch") < epoch).drop("epoch"))
+    admission.change_log_rows(log, updates=outcomes).write.mode("overwrite").parquet(f"{target}/rate_change_log/epoch={epoch}")
+    mutations.audit_rows(outcomes, "/rates", "PUT").write.mode("overwrite").parquet(f"{target}/audit_log/epoch={epoch}")
     entries = admission.apply_rate_updates(tables.rate_entry, outcomes)
     entries.write.mode("overwrite").parquet(f"{target}/rate_entry/version={epoch}")
 

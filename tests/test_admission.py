@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ratelattice.operators import admission, checks
+from ratelattice.operators import admission, checks, history
 from tests.tiny import TinyTables, day, entry, frame, line, nodes, rate, rows
 
 UPDATES = "req_id bigint, req_ts timestamp_ntz, rate_entry_id bigint, rate decimal(18,4), note string, attachment_id int"
@@ -164,8 +164,14 @@ def test_random_updates(spark, request, seed, split):
     assert outcome(done) == expected
     state = admission.apply_rate_updates(t.rate_entry, done)
     assert dict(rows(state, "id", "rate")) == after
-    log = admission.change_log_rows(updates=done)
-    assert log.count() == sum(o == "UPDATE" for o, _ in expected.values())
+    log = admission.change_log_rows(t.rate_change_log, updates=done)
+    assert log.schema == t.rate_change_log.schema or log.columns == t.rate_change_log.columns
+    accepted = sorted((r["req_ts"], r["req_id"]) for r in done.filter("outcome = 'UPDATE'").collect())
+    numbered = sorted((r["id"], r["created_on"], r["rate_entry_id"]) for r in log.collect())
+    assert [n for n, _, _ in numbered] == list(range(1, len(accepted) + 1)) and [ts for _, ts, _ in numbered] == [ts for ts, _ in accepted]
+    # appended to the log, the changes give the state that was applied
+    asof = dict(rows(history.rate_asof(log, "9999-01-01 00:00:00"), "rate_entry_id", "rate"))
+    assert asof == {e: after[e] for e in asof} and len(accepted) == sum(o == "UPDATE" for o, _ in expected.values())
 
 
 def replay_adds(entries, parents, known, requests):

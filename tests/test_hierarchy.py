@@ -132,3 +132,36 @@ def test_documents_are_segmented(spark):
     assert docs[3, 0]["cells"] == {"P1": {"quarter": 2, "value": [0.1], "businessSubCategoryId": 1, "rateEntryId": 1, "productLineId": 1}}
     assert list(docs[3, 1]["cells"]) == ["PL1025"]
     assert docs[4, 0] == {"key": 4, "level": 3, "parentId": 1, "baserate": "Add a sub group"}
+
+
+def test_repeated_codes_are_settled_before_segments(spark):
+    t = TinyTables(
+        spark,
+        business_category=categories(1),
+        business_sub_category=[{"id": i, "business_category_id": 1, "name": f"S{i}", "is_active": 1} for i in (1, 2)],
+        product_line=[line(1, "X", sub=1, base="1"), line(2000, 'X"', sub=2, base="2"), line(3, "Y")],
+        group_node=nodes((1, 1, "G", 1), parent="business_category_id"),
+        node_l1=nodes((1, 1, "A", 1)),
+        node_l2=nodes((1, 1, "B", 1)),
+        rate_entry=[entry(9, 1, "0.9", l2=1), entry(5, 2000, "0.5", l2=1)],
+    )
+    docs = [json.loads(r["doc"]) for r in hierarchy.group_tree_json(t).collect()]
+    assert [c["rateEntryId"] for d in docs for c in d.get("cells", {}).values()] == [9]
+    base = hierarchy.header_rows(t).filter("quarter = ''")
+    assert sorted(rows(base, "code", "product_line_id", "business_sub_category_id")) == [("X", 2000, 2), ("Y", 3, 1)]
+    heads = [json.loads(r["doc"]) for r in hierarchy.header_rows_json(t).filter("row_title LIKE 'BASE%'").collect()]
+    assert sorted(code for d in heads for code in d["cells"]) == ["X", "Y"]
+
+
+def test_pivot_bands_hold_every_code(spark):
+    t = TinyTables(
+        spark,
+        business_category=categories(1),
+        product_line=[line(i, f"P{i:02d}") for i in range(20)],
+        group_node=nodes((1, 1, "G", 1), parent="business_category_id"),
+        node_l1=nodes((1, 1, "A", 1)),
+        node_l2=nodes((1, 1, "B", 1)),
+        rate_entry=[entry(i + 1, i, f"0.{i + 10}", l2=1) for i in range(20)],
+    )
+    got = sorted(hierarchy.row_tree_pivot(t, 8).collect(), key=lambda r: r["band"])
+    assert [float(r[f"r{i}"]) for r in got for i in range(8) if r[f"r{i}"] is not None] == [(i + 10) / 100 for i in range(20)]

@@ -26,8 +26,7 @@ def table(df, *columns):
 def test_hot_group_is_found_and_sliced(events, spark, chunking):
     spark.conf.set(skew.MAX_GROUP_ROWS, "500")
     hot = skew.hot_groups(events, ["g"])
-    zero = spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint"))).first()[0]
-    assert hot == {zero: 1040}
+    assert [r["g"] for r in hot.collect()] == [0]
     sizes = skew.slices(events.filter("g = 0"), ["g", "ts", "id"]).groupBy("__slice").count().collect()
     assert len(sizes) == 12
     assert max(r["count"] for r in sizes) < 200

@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from ratelattice.schemas import TABLES
-from ratelattice.sources.tables import RateTables, _top_level_split
+from ratelattice.schemas import TABLES, columns_of
+from ratelattice.sources.tables import RateTables
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -20,7 +20,7 @@ def rate(text) -> Decimal | None:
 
 
 def frame(spark, schema: str, rows: list[dict]):
-    names = [f.strip().split(" ", 1)[0] for f in _top_level_split(schema)]
+    names = [name for name, _ in columns_of(schema)]
     return spark.createDataFrame([tuple(row.get(n) for n in names) for row in rows], schema)
 
 
