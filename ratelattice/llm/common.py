@@ -57,12 +57,13 @@ def blocks(df: DataFrame, key: str, member: str, size: str, least: int, most: in
     cut = df.withColumn("__parts", F.ceil(F.col(size) / part_rows).cast("int"))
     cut = cut.withColumn("__part", F.pmod(F.xxhash64(member), "__parts").cast("int"))
     cut = cut.withColumn("__other", F.explode(F.expr("sequence(0, __parts - 1)")))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # not merged by size: small blocks take long
     return cut.select(
         *df.columns,
         "__part",
         F.least("__part", "__other").alias("__i"),
         F.greatest("__part", "__other").alias("__j"),
-    ).repartition(key, "__i", "__j").sortWithinPartitions(key, "__i", "__j")
+    ).repartition(parts, key, "__i", "__j").sortWithinPartitions(key, "__i", "__j")
 
 
 def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:

@@ -125,9 +125,18 @@ def plausible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, th
     may = ratio >= threshold - 1e-12
     if may.any():
         a, b, n_a, n_b = a[may], b[may], n_a[may], n_b[may]
-        likeliest, best = estimates(a, b, n_a, n_b)
-        at = log_likelihood((a > b).sum(axis=1), (a < b).sum(axis=1), a.shape[1], n_a, n_b, threshold)
-        may[may] = (likeliest >= threshold) | (best - at <= LOG_RATIO)
+        above, below = (a > b).sum(axis=1), (a < b).sum(axis=1)
+        likelihood = lambda at, rows: log_likelihood(above[rows], below[rows], a.shape[1], n_a[rows], n_b[rows], at)
+        every = np.arange(len(n_a))
+        at = likelihood(threshold, every)
+        # the likelihood has one peak: where it falls below the threshold, that side needs no search
+        low = every[likelihood(threshold - 0.01, every) > at]
+        best = at[low]
+        for step in range(1, 20):
+            best = np.maximum(best, likelihood(threshold * step / 20, low))
+        stays = np.ones(len(every), dtype=bool)
+        stays[low] = best - at[low] <= LOG_RATIO
+        may[may] = stays
     return may
 
 
@@ -186,15 +195,18 @@ def _compare_blocks(threshold: float) -> Callable:
             if group.num_rows < 2:
                 continue
             regs, n = _matrix(group.column("registers")), group.column("n").to_numpy().astype(np.float64)
-            piece, part = group.column("piece").to_numpy(), group.column("__part").to_numpy()
+            piece, part = group.column("piece").to_numpy().copy(), group.column("__part").to_numpy()
             crossing = group.column("__i")[0].as_py() != group.column("__j")[0].as_py()
-            forest, pairs = Forest(len(n)), []
+            pairs = []
             for i in range(len(n) - 1):
-                other = np.arange(i + 1, len(n))
-                other = other[(piece[other] != piece[i]) & (np.bool_(not crossing) | (part[other] != part[i]))]
+                # pieces that have met count as one, so their members need no further comparison
+                other = i + 1 + np.flatnonzero(piece[i + 1 :] != piece[i])
+                other = other[part[other] != part[i]] if crossing else other
                 if len(other):
                     stay = plausible(regs[other], np.broadcast_to(regs[i], (len(other), regs.shape[1])), n[other], np.full(len(other), n[i]), threshold)
-                    pairs += [(i, int(j)) for j in other[stay] if forest.union(i, int(j))]
+                    met, first = np.unique(piece[other[stay]], return_index=True)
+                    pairs += [(i, int(j)) for j in other[stay][first]]
+                    piece[np.isin(piece, met)] = piece[i]
             if pairs:
                 yield _forest_rows(group, pairs)
 
