@@ -66,26 +66,24 @@ def strip_quotes(label: Column) -> Column:
     return F.translate(label, '"', "")
 
 
-def label_contains(label: Column, text: str) -> Column:
-    """Case-insensitive literal containment, no wildcards."""
-    return F.contains(F.lower(label), F.lower(F.lit(text)))
-
-
 def not_blank(text: Column) -> Column:
     return F.coalesce(F.trim(text) != "", F.lit(False))
 
 
+def upload_path(original: Column) -> Column:
+    """The name with "/" between folders and without "." folders."""
+    return F.regexp_replace(F.replace(original, F.lit("\\"), F.lit("/")), r"(^|/)(\./)+", "$1")
+
+
 def attachment_error(original: Column) -> Column:
     """Why an upload name cannot be stored; null when it can."""
-    return (
-        F.when(original.isNull() | original.rlike(r"^[^.]*\.*$"), "NO_EXTENSION")
-        .when(F.contains(original, F.lit("..")), "INVALID_PATH")
-    )
+    name = upload_path(original)
+    return F.when(name.isNull() | name.rlike(r"^[^.]*\.*$"), "NO_EXTENSION").when(F.contains(name, F.lit("..")), "INVALID_PATH")
 
 
 def stored_attachment_name(original: Column, ts: Column) -> Column:
     """First two dot-parts with the upload minute between them."""
-    parts = F.split(original, r"\.")
+    parts = F.split(upload_path(original), r"\.")
     name = F.concat(
         F.get(parts, F.lit(0)), F.lit("_"), F.date_format(ts, STORED_NAME_MINUTES), F.lit("."), F.get(parts, F.lit(1))
     )

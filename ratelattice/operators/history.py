@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelattice.functions.scalars import HISTORY_MINUTES
-from ratelattice.skew import neighbour, running_total
+from ratelattice.schemas import RATE
+from ratelattice.skew import carried, neighbour, running_total
 from ratelattice.sources.tables import RateTables
 
 DEFAULT_AS_OF = "1998-06-30 23:59:00"
@@ -67,6 +68,22 @@ def rate_asof_multi(log: DataFrame, moments: Sequence[str]) -> DataFrame:
     )
 
 
+def rate_asof_probes(log: DataFrame, probes: DataFrame) -> DataFrame:
+    """The rate at each of many (probe_id, rate_entry_id, as_of) probes, null where the entry has no change by then.
+
+    Probes and changes are sorted together per entry, so no range join is needed and an entry
+    with very many of both costs no pairs.
+    """
+    changes = log.select(
+        "rate_entry_id", F.col("created_on").alias("at"), F.lit(0).alias("kind"), F.col("id").alias("number"), "rate"
+    )
+    asked = probes.select(
+        "rate_entry_id", F.col("as_of").alias("at"), F.lit(1).alias("kind"), F.col("probe_id").alias("number"), F.lit(None).cast(RATE).alias("rate")
+    )
+    seen = carried(changes.unionByName(asked), ["rate_entry_id"], ["at", "kind", "number"], {"known": "rate"})
+    return seen.filter("kind = 1").select(F.col("number").alias("probe_id"), "rate_entry_id", F.col("at").alias("as_of"), F.col("known").alias("rate"))
+
+
 def rate_changes(log: DataFrame) -> DataFrame:
     """Old and new rate of every change; the first change of an entry has old = new."""
     df = neighbour(log, ["rate_entry_id"], ORDER, {"previous": "rate"})
@@ -129,11 +146,43 @@ def missing_attachments(log: DataFrame, attachments: DataFrame) -> DataFrame:
     ).select("rate_entry_id", F.col("id").alias("log_id"), "attachment_id")
 
 
+def lineage_errors(tables: RateTables) -> DataFrame:
+    """(rate_entry_id, missing, missing_id): what an entry's lineage names and does not find, one row per break.
+
+    ``missing`` is one of level_1, level_2, level_3, product_line, sub_category, category.
+    """
+
+    def breaks(rows: DataFrame, column: str, table: DataFrame, name: str) -> DataFrame:
+        known = table.select(F.col("id").cast("bigint").alias("missing_id"))
+        named = rows.select("rate_entry_id", F.col(column).cast("bigint").alias("missing_id")).filter("missing_id IS NOT NULL")
+        return named.join(known, "missing_id", "left_anti").select("rate_entry_id", F.lit(name).alias("missing"), "missing_id")
+
+    def below(rows: DataFrame, column: str, table: DataFrame, up: str) -> DataFrame:
+        above = table.select(F.col("id").cast("bigint").alias("__at"), F.col(up).alias("__up"))
+        return rows.join(above, F.col(column) == F.col("__at")).select("rate_entry_id", F.col("__up").alias(column))
+
+    entries = tables.rate_entry.select(F.col("id").alias("rate_entry_id"), "product_line_id", "l2_id", "l3_id")
+    alone = entries.filter(F.col("l2_id").isNull() != F.col("l3_id").isNull())
+    level2 = alone.select("rate_entry_id", "l2_id").unionByName(below(alone, "l3_id", tables.node_l3, "parent_id").withColumnRenamed("l3_id", "l2_id"))
+    level1 = below(level2, "l2_id", tables.node_l2, "parent_id")
+    subs = below(entries, "product_line_id", tables.product_line, "business_sub_category_id")
+    categories = below(subs, "product_line_id", tables.business_sub_category, "business_category_id")
+    return (
+        breaks(alone, "l3_id", tables.node_l3, "level_3")
+        .unionByName(breaks(level2, "l2_id", tables.node_l2, "level_2"))
+        .unionByName(breaks(level1, "l2_id", tables.node_l1, "level_1"))
+        .unionByName(breaks(entries, "product_line_id", tables.product_line, "product_line"))
+        .unionByName(breaks(subs, "product_line_id", tables.business_sub_category, "sub_category"))
+        .unionByName(breaks(categories, "product_line_id", tables.business_category, "category"))
+    )
+
+
 def entry_lineage(tables: RateTables) -> DataFrame:
     """Where each entry belongs: seller node, level-1 group, product line, category.
 
     The seller is the level-2 or the level-3 node, whichever alone is set; an
-    entry with both or neither has no seller and no group.
+    entry with both or neither has no seller and no group.  Entries whose lineage
+    is broken are left out here and listed by ``lineage_errors``.
     """
     l1 = tables.node_l1.select(F.col("id").alias("l1_id"), F.col("name").alias("dgroup"))
     l2 = (

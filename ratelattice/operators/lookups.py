@@ -21,10 +21,6 @@ def category_options(categories: DataFrame) -> DataFrame:
     return categories.select("id", F.col("name").alias("label"))
 
 
-def lookup(table: DataFrame, ids: DataFrame, id_column: str = "requested_id") -> DataFrame:
-    return ids.join(table, ids[id_column] == table["id"])
-
-
 def lookup_missing(table: DataFrame, ids: DataFrame, what: str, id_column: str = "requested_id") -> DataFrame:
     """Requested ids the table does not hold, each with its error text."""
     missing = ids.join(table.select("id"), F.col(id_column) == F.col("id"), "left_anti")

@@ -290,6 +290,23 @@ GROUP BY m.as_of, rate_entry_id""",
     "rate_asof_events": """
 SELECT rate_entry_id, arg_max(rate, (created_on, id)) AS rate, max(created_on) AS created_on
 FROM event_change_log WHERE created_on <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY rate_entry_id""",
+    "rate_asof_probes": """
+SELECT p.req_id AS probe_id, p.rate_entry_id, p.req_ts AS as_of, l.rate
+FROM update_request p ASOF LEFT JOIN (SELECT rate_entry_id, created_on, arg_max(rate, id) AS rate FROM rate_change_log GROUP BY ALL) l
+ON p.rate_entry_id = l.rate_entry_id AND p.req_ts >= l.created_on""",
+    "lineage_errors": """
+WITH alone AS (SELECT * FROM rate_entry WHERE (l2_id IS NULL) <> (l3_id IS NULL)),
+level2 AS (SELECT id, l2_id AS n FROM alone WHERE l2_id IS NOT NULL UNION ALL SELECT a.id, n.parent_id FROM alone a JOIN node_l3 n ON n.id = a.l3_id),
+level1 AS (SELECT l.id, n.parent_id AS n FROM level2 l JOIN node_l2 n ON n.id = l.n),
+subs AS (SELECT e.id, p.business_sub_category_id AS n FROM rate_entry e JOIN product_line p ON p.id = e.product_line_id),
+cats AS (SELECT s.id, b.business_category_id AS n FROM subs s JOIN business_sub_category b ON b.id = s.n)
+SELECT id AS rate_entry_id, missing, missing_id FROM (
+SELECT id, 'level_3' AS missing, CAST(l3_id AS BIGINT) AS missing_id FROM alone WHERE l3_id IS NOT NULL AND l3_id NOT IN (SELECT id FROM node_l3)
+UNION ALL SELECT id, 'level_2', n FROM level2 WHERE n NOT IN (SELECT id FROM node_l2)
+UNION ALL SELECT id, 'level_1', n FROM level1 WHERE n NOT IN (SELECT id FROM node_l1)
+UNION ALL SELECT id, 'product_line', product_line_id FROM rate_entry WHERE product_line_id NOT IN (SELECT id FROM product_line)
+UNION ALL SELECT id, 'sub_category', n FROM subs WHERE n NOT IN (SELECT id FROM business_sub_category)
+UNION ALL SELECT id, 'category', n FROM cats WHERE n NOT IN (SELECT id FROM business_category))""",
     "rate_changes": "SELECT rate_entry_id, created_on, coalesce(lag(rate) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id), rate) AS old_rate, rate FROM rate_change_log",
     "rate_intervals": "SELECT rate_entry_id, rate, created_on AS valid_from, lead(created_on) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id) AS valid_to FROM rate_change_log",
     "rate_intervals_events": "SELECT rate_entry_id, rate, created_on AS valid_from, lead(created_on) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id) AS valid_to FROM event_change_log",
@@ -396,9 +413,9 @@ SELECT o_orderdate AS ts, CAST({_q} AS INT) AS quarter, {_MONTHS.format(q=_q)} A
 FROM orders""",
     "clean_labels": "SELECT doc_id AS id, replace(text, '\"', '') AS label FROM documents",
     "attachment_names": r"""
-SELECT original, CASE WHEN error IS NULL THEN split_part(original, '.', 1) || '_202405151020.' || split_part(original, '.', 2) END AS stored, error
-FROM (SELECT original, CASE WHEN regexp_matches(original, '^[^.]*\.*$') THEN 'NO_EXTENSION' WHEN contains(original, '..') THEN 'INVALID_PATH' END AS error
-      FROM (SELECT url AS original FROM pages UNION ALL SELECT split_part(url, '/', -1) FROM pages UNION ALL SELECT 'page..' || page_id FROM pages))""",
+SELECT original, CASE WHEN error IS NULL THEN split_part(name, '.', 1) || '_202405151020.' || split_part(name, '.', 2) END AS stored, error
+FROM (SELECT original, name, CASE WHEN regexp_matches(name, '^[^.]*\.*$') THEN 'NO_EXTENSION' WHEN contains(name, '..') THEN 'INVALID_PATH' END AS error
+      FROM (SELECT original, regexp_replace(replace(original, '\', '/'), '(^|/)(\./)+', '\1', 'g') AS name FROM (SELECT url AS original FROM pages UNION ALL SELECT split_part(url, '/', -1) FROM pages UNION ALL SELECT 'page..' || page_id FROM pages)))""",
     "cookie_user": """
 SELECT cookie, CASE WHEN token <> '' THEN json_extract_string(decode(from_base64(rpad(token, CAST(4 * ceil(length(token) / 4.0) AS INT), '='))), '$.id_token.user_name') END AS user_name,
        CASE WHEN token = '' THEN 'User Not Authorized !' END AS error

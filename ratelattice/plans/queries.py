@@ -50,6 +50,18 @@ def rate_asof_events(t):
     return history.rate_asof(t.event_change_log, "2024-01-15 12:00:00")
 
 
+@plan
+def rate_asof_probes(t):
+    """The rate each update request finds at its own time."""
+    probes = R.update_rate_requests(t).select(F.col("req_id").alias("probe_id"), "rate_entry_id", F.col("req_ts").alias("as_of"))
+    return history.rate_asof_probes(t.rate_change_log, probes)
+
+
+@plan
+def lineage_errors(t):
+    return history.lineage_errors(t)
+
+
 @plan
 def rate_changes(t):
     return history.rate_changes(t.rate_change_log)

@@ -157,3 +157,23 @@ def neighbour(
         return joined.withColumns(picked).drop(_SLICE, "__edge", "__inner")
 
     return _windowed(df, keys, order, whole, sliced)
+
+
+def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Adds ``columns`` (new name -> source column): the last non-null value up to and including each row of its group."""
+
+    def whole(part: DataFrame) -> DataFrame:
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return part.withColumns({new: F.last(old, ignorenulls=True).over(upto) for new, old in columns.items()})
+
+    def sliced(part: DataFrame) -> DataFrame:
+        upto = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        inner = part.withColumns({new: F.last(old, ignorenulls=True).over(upto) for new, old in columns.items()})
+        at = F.struct(*order)
+        ends = part.groupBy(*keys, _SLICE).agg(*[F.max_by(F.col(old), F.when(F.col(old).isNotNull(), at)).alias(f"__e_{new}") for new, old in columns.items()])
+        before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.withColumns({f"__e_{new}": F.last(f"__e_{new}", ignorenulls=True).over(before) for new in columns})
+        joined = _join_slices(inner, ends, keys)
+        return joined.withColumns({new: F.coalesce(new, f"__e_{new}") for new in columns}).drop(_SLICE, *[f"__e_{new}" for new in columns])
+
+    return _windowed(df, keys, order, whole, sliced)

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ratelattice.operators import history, matrix
-from tests.tiny import TinyTables, categories, change, day, entry, line, nodes, rate, rows
+from tests.tiny import TinyTables, categories, change, day, entry, frame, line, nodes, rate, rows
 
 
 def log(spark, *changes):
@@ -112,3 +112,34 @@ def test_entry_on_both_levels_shows_twice(spark):
 
 def test_day_helper():
     assert day(1) - day(0) == dt.timedelta(days=1)
+
+
+def test_probes_see_the_last_change_by_their_time(spark):
+    log = TinyTables(spark, rate_change_log=[change(1, 7, 1, "0.1"), change(2, 7, 3, "0.2"), change(3, 7, 3, "0.3"), change(4, 8, 2, "0.4")]).rate_change_log
+    probes = frame(
+        spark,
+        "probe_id bigint, rate_entry_id bigint, as_of timestamp_ntz",
+        [{"probe_id": i, "rate_entry_id": e, "as_of": day(n)} for i, e, n in ((1, 7, 0), (2, 7, 1), (3, 7, 2), (4, 7, 3), (5, 8, 9), (6, 9, 9))],
+    )
+    got = sorted(rows(history.rate_asof_probes(log, probes), "probe_id", "rate"))
+    assert got == [(1, None), (2, rate("0.1")), (3, rate("0.1")), (4, rate("0.3")), (5, rate("0.4")), (6, None)]
+
+
+def test_broken_lineages_are_listed(spark):
+    t = TinyTables(
+        spark,
+        business_category=categories(1),
+        business_sub_category=[{"id": 1, "business_category_id": 1, "name": "S", "is_active": 1}, {"id": 2, "business_category_id": 9, "name": "T", "is_active": 1}],
+        product_line=[line(1), line(2, sub=5), line(3, sub=2)],
+        node_l1=nodes((1, 1, "A", 1)),
+        node_l2=nodes((1, 1, "B", 1), (2, 8, "C", 1)),
+        node_l3=nodes((1, 1, "D", 1), (2, 7, "E", 1)),
+        rate_entry=[
+            entry(1, 1, "0.1", l2=1), entry(2, 1, "0.1", l2=2), entry(3, 1, "0.1", l2=6), entry(4, 1, "0.1", l3=2), entry(5, 1, "0.1", l3=4),
+            entry(6, 2, "0.1", l3=1), entry(7, 3, "0.1", l3=1), entry(8, 4, "0.1", l2=1),
+        ],
+    )
+    assert sorted(rows(history.lineage_errors(t), "rate_entry_id", "missing", "missing_id")) == [
+        (2, "level_1", 8), (3, "level_2", 6), (4, "level_2", 7), (5, "level_3", 4), (6, "sub_category", 5), (7, "category", 9), (8, "product_line", 4),
+    ]
+    assert {r["rate_entry_id"] for r in history.entry_lineage(t).collect()} == {1}

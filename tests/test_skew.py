@@ -62,3 +62,11 @@ def test_one_timestamp_for_all(spark, chunking):
     df = spark.range(500).select("id", F.lit(1).alias("g"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("ts"))
     numbered = skew.running_total(df, ["g"], ["ts", "id"], "n")
     assert table(numbered, "id", "n") == sorted(((i, i) for i in range(500)), key=repr)
+
+
+def test_carried(events, chunking):
+    rows = events.withColumn("x", F.when(F.col("id") % 11 == 0, F.col("v")))
+    upto = Window.partitionBy("g").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = rows.withColumn("known", F.last("x", ignorenulls=True).over(upto))
+    split = skew.carried(rows, ["g"], ["ts", "id"], {"known": "x"})
+    assert table(split, "id", "known") == table(plain, "id", "known")
