@@ -232,7 +232,7 @@ FROM (
         FROM update_walk w JOIN update_seq s ON s.l2 = w.l2 AND s.line = w.line AND s.k = w.k + 1)
 )""",
     "update_done": """
-SELECT u.req_id, u.rate_entry_id, u.rate, u.note, u.attachment_id, coalesce(u.static, w.reason) AS reason, coalesce(w.old_rate, u.own) AS old_rate
+SELECT u.req_id, u.req_ts, u.rate_entry_id, u.rate, u.note, u.attachment_id, coalesce(u.static, w.reason) AS reason, coalesce(w.old_rate, u.own) AS old_rate
 FROM update_known u LEFT JOIN update_walk w ON w.req_id = u.req_id""",
     # add requests likewise
     "add_known": """
@@ -265,7 +265,7 @@ FROM (
     "add_done": """
 SELECT a.req_id, a.req_ts, a.rate, coalesce(a.static, w.reason) AS reason FROM add_known a LEFT JOIN add_walk w ON w.req_id = a.req_id""",
     "add_numbered": """
-SELECT req_id, rate, CASE WHEN reason IS NULL THEN 'INSERT' ELSE 'REJECT' END AS outcome, reason,
+SELECT req_id, req_ts, rate, CASE WHEN reason IS NULL THEN 'INSERT' ELSE 'REJECT' END AS outcome, reason,
        CASE WHEN reason IS NULL THEN (SELECT max(id) FROM rate_entry) + row_number() OVER (PARTITION BY reason IS NULL ORDER BY req_ts, req_id) END AS rate_entry_id
 FROM add_done""",
 }
@@ -295,7 +295,7 @@ SELECT p.req_id AS probe_id, p.rate_entry_id, p.req_ts AS as_of, l.rate
 FROM update_request p ASOF LEFT JOIN (SELECT rate_entry_id, created_on, arg_max(rate, id) AS rate FROM rate_change_log GROUP BY ALL) l
 ON p.rate_entry_id = l.rate_entry_id AND p.req_ts >= l.created_on""",
     "lineage_errors": """
-WITH alone AS (SELECT * FROM rate_entry WHERE (l2_id IS NULL) <> (l3_id IS NULL)),
+SELECT * FROM (WITH alone AS (SELECT * FROM rate_entry WHERE (l2_id IS NULL) <> (l3_id IS NULL)),
 level2 AS (SELECT id, l2_id AS n FROM alone WHERE l2_id IS NOT NULL UNION ALL SELECT a.id, n.parent_id FROM alone a JOIN node_l3 n ON n.id = a.l3_id),
 level1 AS (SELECT l.id, n.parent_id AS n FROM level2 l JOIN node_l2 n ON n.id = l.n),
 subs AS (SELECT e.id, p.business_sub_category_id AS n FROM rate_entry e JOIN product_line p ON p.id = e.product_line_id),
@@ -306,7 +306,7 @@ UNION ALL SELECT id, 'level_2', n FROM level2 WHERE n NOT IN (SELECT id FROM nod
 UNION ALL SELECT id, 'level_1', n FROM level1 WHERE n NOT IN (SELECT id FROM node_l1)
 UNION ALL SELECT id, 'product_line', product_line_id FROM rate_entry WHERE product_line_id NOT IN (SELECT id FROM product_line)
 UNION ALL SELECT id, 'sub_category', n FROM subs WHERE n NOT IN (SELECT id FROM business_sub_category)
-UNION ALL SELECT id, 'category', n FROM cats WHERE n NOT IN (SELECT id FROM business_category))""",
+UNION ALL SELECT id, 'category', n FROM cats WHERE n NOT IN (SELECT id FROM business_category)))""",
     "rate_changes": "SELECT rate_entry_id, created_on, coalesce(lag(rate) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id), rate) AS old_rate, rate FROM rate_change_log",
     "rate_intervals": "SELECT rate_entry_id, rate, created_on AS valid_from, lead(created_on) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id) AS valid_to FROM rate_change_log",
     "rate_intervals_events": "SELECT rate_entry_id, rate, created_on AS valid_from, lead(created_on) OVER (PARTITION BY rate_entry_id ORDER BY created_on, id) AS valid_to FROM event_change_log",
@@ -452,7 +452,10 @@ SELECT m.top + row_number() OVER (ORDER BY created_on, kind, req_id) AS id, atta
 FROM (SELECT 0 AS kind, req_id, req_ts AS created_on, rate_entry_id, attachment_id, rate, old_rate, note FROM update_done WHERE reason IS NULL
       UNION ALL SELECT 1, req_id, req_ts, rate_entry_id, 1, rate, rate, NULL FROM add_numbered WHERE outcome = 'INSERT'), (SELECT max(id) AS top FROM rate_change_log) m""",
     "rate_asof_after_updates": """
-SELECT rate_entry_id, arg_max(rate, (req_ts, req_id)) AS rate FROM update_done WHERE reason IS NULL GROUP BY rate_entry_id""",
+SELECT rate_entry_id, arg_max(rate, (created_on, later, id)) AS rate
+FROM (SELECT rate_entry_id, created_on, 0 AS later, id, rate FROM rate_change_log
+      UNION ALL SELECT rate_entry_id, req_ts, 1, req_id, rate FROM update_done WHERE reason IS NULL)
+WHERE rate_entry_id IN (SELECT rate_entry_id FROM update_done WHERE reason IS NULL) GROUP BY rate_entry_id""",
     "mutation_outcomes": f"""
 SELECT 'patch_line' AS kind, req_id, CASE WHEN e IS NULL THEN 'PATCH' ELSE 'REJECT' END AS outcome, e AS error,
        CASE WHEN e IS NULL THEN 'PL with id : ' || product_line_id || ' has been successfully updated !'

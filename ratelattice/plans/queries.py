@@ -376,7 +376,7 @@ def change_log_append(t):
 
 @plan
 def rate_asof_after_updates(t):
-    """As-of over the old and the appended log; equals the applied state of the updated entries."""
+    """As-of over the old and the appended log, for the updated entries."""
     updates = admission.update_rate_entries(t, R.update_rate_requests(t))
     log = t.rate_change_log.unionByName(admission.change_log_rows(t.rate_change_log, updates))
     touched = updates.filter(F.col("outcome") == admission.UPDATE).select("rate_entry_id").distinct()
