@@ -28,12 +28,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelattice.sources.kept import keep
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 2_000, 15, 128
+EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8_000, 2_000, 15, 128
 CALIBRATED = 2_000  # examples whose own votes calibrate the score
 LEAST_DOCS, LEAST_RATIO = 4, 25.0  # of a term: toxic examples, likelihood ratio
 _PREFIXES = (4, 5, 6)
@@ -144,31 +144,25 @@ def words_of(text: str | None) -> Counter:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number of examples that have each term."""
-    return _counts(batches, None)
-
-
-def _counts_of(wanted: set[str]) -> Callable:
-    return lambda batches: _counts(batches, wanted)
-
-
-def _counts(batches: Iterator[pa.RecordBatch], wanted: set[str] | None) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    """Number of examples of each label that have each term."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            terms = {t for w in words_of(text) for t in word_terms(w)}
-            seen.update(terms if wanted is None else terms & wanted)
-    yield pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["term", "n"])
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            seen[toxic].update({t for w in words_of(text) for t in word_terms(w)})
+    for toxic in (0, 1):
+        yield pa.record_batch(
+            [pa.array(list(seen[toxic]), pa.string()), pa.array([toxic] * len(seen[toxic]), pa.int32()), pa.array(list(seen[toxic].values()), pa.int64())],
+            names=["term", "toxic", "n"],
+        )
 
 
-def _ratio(a: int, n_a: int, b: int, n_b: int) -> float:
+def likelihood_ratio(a: Column, n_a: int, b: Column, n_b: int) -> Column:
     """Likelihood ratio of a term in a of n_a toxic and b of n_b other examples; negative if rarer in the toxic ones."""
-    total = 0.0
+    total = F.lit(0.0)
     for k, n in ((a, n_a), (b, n_b)):
-        for seen, size, part in ((k, n, a + b), (n - k, n, n_a + n_b - a - b)):
-            if seen:
-                total += 2 * seen * math.log(seen * (n_a + n_b) / (size * part))
-    return total if a * n_b > b * n_a else -total
+        for seen, part in ((k, a + b), (n - k, n_a + n_b - a - b)):
+            total = total + F.when(seen > 0, 2 * seen * F.log(seen * float(n_a + n_b) / (float(n) * part))).otherwise(0.0)
+    return F.when(a * n_b > b * n_a, total).otherwise(-total)
 
 
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: int = NEIGHBOURS, seed: int = 0) -> Index:
@@ -189,15 +183,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     if not n_toxic or not n_other:
         index.empty_share = share if not n_toxic else 1.0 - 1 / (2 + n_toxic)
         return index
-    # the tail of rare words never comes to the driver
-    toxic = sample.filter("toxic = 1").mapInArrow(_term_counts, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    toxic = {r["term"]: r["n"] for r in toxic.filter(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "term").limit(50 * terms).collect()}
-    other = sample.filter("toxic = 0").mapInArrow(_counts_of(set(toxic)), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    other = {r["term"]: r["n"] for r in other.collect()}
-    ratios = {t: _ratio(a, n_toxic, other.get(t, 0), n_other) for t, a in toxic.items()}
-    picked = sorted((t for t in ratios if ratios[t] >= LEAST_RATIO), key=lambda t: (-ratios[t], t))[:terms]
-    index.idf = {t: math.log((1 + n_toxic + n_other) / (1 + toxic[t] + other.get(t, 0))) + 1 for t in picked}
-    index.number = {t: i for i, t in enumerate(picked)}
+    counts = sample.mapInArrow(_term_counts, "term string, toxic int, n bigint").groupBy("term")
+    counts = counts.agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(name) for t, name in ((1, "a"), (0, "b"))])
+    rated = counts.filter(F.col("a") >= LEAST_DOCS).withColumn("ratio", likelihood_ratio(F.col("a"), n_toxic, F.col("b"), n_other))
+    picked = rated.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "term").limit(terms).collect()
+    index.idf = {r["term"]: math.log((1 + n_toxic + n_other) / (1 + r["a"] + r["b"])) + 1 for r in picked}
+    index.number = {r["term"]: i for i, r in enumerate(picked)}
 
     rows = sample.mapInArrow(_vectors(index), "doc_id bigint, toxic int, terms array<int>, weights array<double>").collect()
     full = [r for r in rows if r["terms"]]
@@ -272,6 +263,6 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double, evidence array<bigint>")
 
 
-def held_out(doc_id) -> F.Column:
+def held_out(doc_id) -> Column:
     """Rows that labels are never learned from: crc32 of the decimal doc_id divisible by 5."""
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
