@@ -25,6 +25,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -37,7 +38,7 @@ EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8_000, 2_000, 15, 128
 CALIBRATED = 2_000  # examples whose own votes calibrate the score
 LEAST_DOCS, LEAST_RATIO = 4, 25.0  # of a term: toxic examples, likelihood ratio
 _PREFIXES = (4, 5, 6)
-_WORDS = re.compile(r"[^\W\d_]{2,}")
+_WORDS, _LETTER = re.compile(r"[^\W\d_]{2,}"), re.compile(r"[^\W\d_]")
 
 
 def word_terms(word: str) -> list[str]:
@@ -48,7 +49,7 @@ def word_terms(word: str) -> list[str]:
 class Index:
     """Block-max inverted index of unit vectors."""
 
-    idf: dict[str, float]
+    idf: list[float]
     number: dict[str, int]
     k: int = NEIGHBOURS
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -57,16 +58,33 @@ class Index:
     most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     empty_share: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
+    finder: ahocorasick.Automaton | None = None
     weight: float = 1.0
 
-    def vector(self, words: Counter) -> dict[int, float]:
-        """Unit TF-IDF vector of word counts; empty without a chosen term."""
-        counts: Counter = Counter()
-        for word, n in words.items():
-            for term in word_terms(word):
-                if term in self.number:
-                    counts[term] += n
-        raw = {self.number[t]: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"finder": None}
+
+    def counts(self, text: str | None) -> Counter:
+        """How often each chosen term occurs: all terms are looked for in one pass over the text."""
+        if self.finder is None:
+            self.finder = ahocorasick.Automaton()
+            for stem in {t.rstrip("*") for t in self.number}:
+                self.finder.add_word(stem, (len(stem), self.number.get(stem), self.number.get(f"{stem}*")))
+            self.finder.make_automaton()
+        found: Counter = Counter()
+        text = (text or "").lower()
+        for last, (length, word, beginning) in self.finder.iter(text) if self.number else ():
+            first = last - length + 1
+            if first and _LETTER.match(text, first - 1):
+                continue
+            term = beginning if _LETTER.match(text, last + 1) else word
+            if term is not None:
+                found[term] += 1
+        return found
+
+    def vector(self, text: str | None) -> dict[int, float]:
+        """Unit TF-IDF vector of a text; empty without a chosen term."""
+        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in self.counts(text).items()}
         norm = math.sqrt(sum(v * v for v in raw.values()))
         return {t: v / norm for t, v in sorted(raw.items())}
 
@@ -139,8 +157,8 @@ def _logit(p):
     return np.log(p / (1 - p))
 
 
-def words_of(text: str | None) -> Counter:
-    return Counter(_WORDS.findall((text or "").lower()))
+def words_of(text: str | None) -> set[str]:
+    return set(_WORDS.findall((text or "").lower()))
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_other = n.get(1, 0), n.get(0, 0)
 
-    index = Index({}, {}, k)
+    index = Index([], {}, k)
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if not n_toxic or not n_other:
         index.empty_share = share if not n_toxic else 1.0 - 1 / (2 + n_toxic)
@@ -187,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     counts = counts.agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(name) for t, name in ((1, "a"), (0, "b"))])
     rated = counts.filter(F.col("a") >= LEAST_DOCS).withColumn("ratio", likelihood_ratio(F.col("a"), n_toxic, F.col("b"), n_other))
     picked = rated.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "term").limit(terms).collect()
-    index.idf = {r["term"]: math.log((1 + n_toxic + n_other) / (1 + r["a"] + r["b"])) + 1 for r in picked}
+    index.idf = [math.log((1 + n_toxic + n_other) / (1 + r["a"] + r["b"])) + 1 for r in picked]
     index.number = {r["term"]: i for i, r in enumerate(picked)}
 
     rows = sample.mapInArrow(_vectors(index), "doc_id bigint, toxic int, terms array<int>, weights array<double>").collect()
@@ -210,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
 def _vectors(index: Index) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [index.vector(words_of(t)) for t in batch.column("text").to_pylist()]
+            made = [index.vector(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
@@ -224,20 +242,6 @@ def _vectors(index: Index) -> Callable:
     return run
 
 
-class _TermCache(dict):
-    """Word -> whether it has a chosen term."""
-
-    def __init__(self, number: dict[str, int]):
-        super().__init__()
-        self.number = number
-
-    def __missing__(self, word: str) -> bool:
-        known = any(t in self.number for t in word_terms(word))
-        if len(self) < 500_000:
-            self[word] = known
-        return known
-
-
 def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None) -> DataFrame:
     """Per row of ``docs``: row (a struct of ``columns``, doc_id if not given), score, evidence.
 
@@ -247,14 +251,12 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = cloudpickle.loads(sent.value)
-        useful = _TermCache(index.number)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 scores, evidence = [], []
                 for text in part.column(1).to_pylist():
-                    words = Counter(filter(useful.__getitem__, _WORDS.findall((text or "").lower())))
-                    value, found = index.score(index.vector(words) if words else {})
+                    value, found = index.score(index.vector(text))
                     scores.append(value)
                     evidence.append(index.names[found])
                 yield pa.record_batch([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["row", "score", "evidence"])

@@ -45,7 +45,7 @@ def queries_held_out(doc_id):
 
 def test_neighbours_are_exact():
     rng = np.random.default_rng(0)
-    index = toxicity.Index({}, {f"t{i}": i for i in range(40)}, k=7)
+    index = toxicity.Index([], {f"t{i}": i for i in range(40)}, k=7)
     vectors = []
     for _ in range(500):
         terms = rng.choice(40, rng.integers(1, 6), replace=False)
@@ -64,8 +64,13 @@ def test_neighbours_are_exact():
 
 def test_terms_and_vectors():
     assert toxicity.word_terms("vileness") == ["vileness", "vile*", "vilen*", "vilene*"]
-    index = toxicity.Index({"a b": 1.0}, {})
-    assert index.vector(Counter({"abc": 2})) == {}
+    terms = ["vile*", "vileness", "vilen*", "st", "ünde*"]
+    index = toxicity.Index([1.0] * 5, {t: i for i, t in enumerate(terms)})
+    text = "Vileness; vile evileness 2vilenes, vilenesses st. Stst ünder_Ünde ündes1"
+    words = [w for w in toxicity._WORDS.findall(text.lower())]
+    expected = Counter(index.number[t] for w in words for t in toxicity.word_terms(w) if t in index.number)
+    assert index.counts(text) == expected and len(expected) == 5
+    assert index.vector("nothing") == {} and index.vector(None) == {}
 
 
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1)], [(77, 1)]])
