@@ -4,7 +4,8 @@ import pytest
 
 from ratelattice.plans.queries import PLANS
 
-FOLDED = {"add_rate_entries", "update_rate_entries", "change_log_append"}
+# these judge rate requests, or report on them
+FOLDED = {"add_rate_entries", "update_rate_entries", "change_log_append", "audit_rows", "rate_asof_after_updates"}
 
 
 def physical(df) -> str:
