@@ -1,17 +1,21 @@
 """Quotation linking: replies joined to the messages they quote.
 
-A line's quote level is the number of ">" before its text (spaces between them ignored).  Each
-quoted line is a passage, so a reply may quote any part of a message.  It is linked to the
-message of its conversation that wrote the line first: quoted and own lines meet by a hash of
-their normalised form (lowered, white space collapsed), and the texts confirm the match.  A message replies to the
-message that most of its first-level quoted lines come from, then the latest.
+A line's quote level is the number of ">" before its text (spaces between them ignored).  Lines
+of one level in a row are a block, blank lines part it into paragraphs.  Blocks, paragraphs and
+lines are all passages, compared in normalised form (lowered, white space and line breaks
+collapsed), so a reply may quote any part of a message and a mail client may wrap it anew.
+
+A quoted line goes by the largest of its passages that an earlier message of its conversation
+has one level lower, else has as its own words; of several such messages by the first.  A message
+replies to the message that most lines of its lowest linked quote level come from, then the latest.
 
 The answer is one row per message without its quotes, with its place in the reply order of the
 conversation: threads by the turn of their first message, inside a thread by turn, which always
 puts a message before its replies.  Threads are found by connecting replies and originals.
 
-All columns are built-in functions.  Lines are counted once per (conversation, hash), combined
-before the shuffle, so a line repeated in a hot conversation is one row and no pairs arise.
+All columns are built-in functions.  Passages meet by their SHA-256 digests, once per (conversation,
+level, digest), combined before the shuffle, so a line repeated in a hot conversation is one row and
+no pairs arise.  Conversations without a quoted line need no passages.
 Null texts are empty; rows without conv_id or turn keep their text and link with nothing; of
 rows with one (conv_id, turn) all keep their text and share the links.
 """
@@ -39,10 +43,25 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(line, _LEVEL_MARKS, "")), r"\s+", " "))
 
 
-def parsed_lines(messages: DataFrame) -> DataFrame:
-    """Rows (row_id, conv_id, turn, at, level, line, normal) of every line of every message."""
-    lines = messages.select("row_id", "conv_id", "turn", F.posexplode(F.split("text", r"\r?\n", -1)).alias("at", "line"))
-    return lines.withColumns({"level": quote_level(F.col("line")), "normal": normal_line(F.col("line"))})
+def _digest(normal: Column) -> Column:
+    return F.unhex(F.sha2(F.trim(F.regexp_replace(normal, "\n+", " ")), 256))
+
+
+def passages(messages: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, level, block, paragraph, line) of every line with text: the digests of its passages."""
+    split = F.transform(F.split("text", r"\r?\n", -1), lambda x: F.struct(quote_level(x).alias("level"), normal_line(x).alias("normal")))
+    level = lambda i: F.get(F.col("lines"), i)["level"]
+    starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i == 0) | (level(i) != level(i - 1)))
+
+    def block(first: Column, k: Column) -> Column:
+        part = F.slice("lines", first + 1, F.coalesce(F.get("starts", k + 1), F.size("lines")) - first)
+        return F.struct(level(first).alias("level"), F.array_join(F.transform(part, lambda x: x["normal"]), "\n").alias("text"))
+
+    of = ["conv_id", "turn"]
+    lines = messages.select(*of, split.alias("lines")).withColumn("starts", starts)
+    blocks = lines.select(*of, F.explode(F.transform("starts", block)).alias("b")).select(*of, "b.level", "b.text", _digest(F.col("b.text")).alias("block"))
+    parts = blocks.select(*of, "level", "block", F.explode(F.split("text", "\n\n+")).alias("part")).withColumn("paragraph", _digest(F.col("part")))
+    return parts.select(*of, "level", "block", "paragraph", F.explode(F.split("part", "\n")).alias("x")).filter("x != ''").select(*of, "level", "block", "paragraph", _digest(F.col("x")).alias("line"))
 
 
 def unquoted(text: Column) -> Column:
@@ -61,21 +80,26 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     """
     rows = conversations.select("conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = keep(rows.withColumn("row_id", F.monotonically_increasing_id()), "messages")
-    lines = parsed_lines(rows).filter("normal != '' and conv_id is not null and turn is not null")
-    lines = keep(lines.select("conv_id", "turn", "level", "normal", F.xxhash64("normal").alias("hash")), "lines")
-
-    # the first message that wrote a line itself; quoted levels are somebody else's words
-    wrote = lines.filter("level = 0").groupBy("conv_id", "hash", "normal").agg(F.min("turn").alias("parent"))
-    wrote = keep(wrote.withColumnRenamed("normal", "written"), "wrote")
-    quoted = lines.filter("level > 0").groupBy("conv_id", "turn", "level", "hash", "normal").agg(F.count("*").alias("n"))
-    met = quoted.join(wrote, ["conv_id", "hash"], "left")
-    met = met.withColumn("parent", F.when((F.col("written") == F.col("normal")) & (F.col("parent") < F.col("turn")), F.col("parent")))
-    # a hash may belong to several lines: the confirmed one counts
-    sure = keep(met.groupBy("conv_id", "turn", "level", "hash", "normal", "n").agg(F.max("parent").alias("parent")), "quoted")
-
-    totals = sure.groupBy("conv_id", "turn").agg(F.sum("n").alias("quoted_lines"), F.sum(F.when(F.col("parent").isNotNull(), F.col("n")).otherwise(0)).alias("linked_lines"))
-    votes = sure.filter("level = 1 and parent is not null").groupBy("conv_id", "turn", "parent").agg(F.sum("n").alias("n"))
-    parents = votes.groupBy("conv_id", "turn").agg(F.max_by("parent", F.struct("n", "parent")).alias("parent_turn"))
+    known = rows.filter("conv_id is not null and turn is not null")
+    quoting = keep(known.filter(F.col("text").rlike(r"(?m)^[ \t]*>")).select("conv_id").distinct(), "quoting")
+    lines = keep(passages(known.join(quoting, "conv_id", "left_semi")), "passages")
+
+    # the first message that has a passage at a level, its own words at level 0
+    has = lines.select("conv_id", "turn", F.col("level").alias("at"), F.explode(F.array("block", "paragraph", "line")).alias("digest"))
+    wrote = keep(has.groupBy("conv_id", "at", "digest").agg(F.min("turn").alias("parent")), "wrote")
+    quoted = lines.filter("level > 0").groupBy("conv_id", "turn", "level", "block", "paragraph", "line").agg(F.count("*").alias("n"))
+    quoted = keep(quoted, "quoted")
+    # sought one level lower, then among the own words, each time in the largest passage first
+    sought = [(F.col("level") - 1, c) for c in ("block", "paragraph", "line")] + [(F.when(F.col("level") > 1, 0), c) for c in ("block", "paragraph", "line")]
+    sought = F.explode(F.array(*[F.struct(F.lit(i).alias("rank"), at.alias("at"), F.col(c).alias("digest")) for i, (at, c) in enumerate(sought)]))
+    met = quoted.withColumn("s", sought).select(*quoted.columns, "s.*").join(wrote, ["conv_id", "at", "digest"]).filter("parent < turn")
+    sure = met.groupBy(*quoted.columns).agg(F.min_by("parent", "rank").alias("parent"), (F.min("rank") < 3).alias("near"))
+    sure = keep(sure, "sure")
+
+    linked = sure.groupBy("conv_id", "turn").agg(F.sum("n").alias("linked_lines"))
+    totals = quoted.groupBy("conv_id", "turn").agg(F.sum("n").alias("quoted_lines")).join(linked, ["conv_id", "turn"], "left")
+    votes = sure.groupBy("conv_id", "turn", "level", "near", "parent").agg(F.sum("n").alias("n"))
+    parents = votes.groupBy("conv_id", "turn").agg(F.max_by("parent", F.struct(-F.col("level"), "near", "n", "parent")).alias("parent_turn"))
     parents = keep(totals.join(parents, ["conv_id", "turn"], "left"), "parents")
 
     threads = keep(_threads(parents.filter("parent_turn is not null")), "threads")

@@ -51,3 +51,35 @@ def test_empty_table_and_plan(spark):
     assert run(spark, []) == []
     plan = quotes.link_quotes(spark.createDataFrame([], SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_passages_tell_the_message_where_lines_do_not(spark):
+    rows = [
+        (1, 0, "user", "Thanks, that works"),
+        (1, 1, "user", "See you"),
+        (1, 4, "assistant", "Thanks, that works\nSee you\n\nBye"),
+        (1, 5, "user", "> Thanks, that works\n> See you\nWhy?"),
+        (1, 6, "user", "> Thanks, that works\n> See you\n>\n> Bye\nAll of it"),
+    ]
+    assert {r.turn: r.parent_turn for r in run(spark, rows) if r.turn > 4} == {5: 4, 6: 4}
+
+
+def test_lines_wrapped_anew_link(spark):
+    rows = [
+        (1, 0, "user", "Hello"),
+        (1, 1, "user", "A long line that a mail client wraps when it is quoted\n\nAnother one"),
+        (1, 2, "user", "> A long line that a mail client\n> wraps when it is quoted\nYes"),
+    ]
+    (last,) = [r for r in run(spark, rows) if r.turn == 2]
+    assert (last.parent_turn, last.quoted_lines, last.linked_lines) == (1, 2, 2)
+
+
+def test_deeper_quotes_give_a_parent_where_the_first_level_does_not(spark):
+    rows = [
+        (1, 0, "user", "Question"),
+        (1, 1, "user", "> Question\nAnswer"),
+        (1, 2, "user", "> > Question\nStill open"),
+        (2, 0, "user", "Question"),
+        (2, 1, "user", ">> Question\nYes"),
+    ]
+    assert {(r.conv_id, r.turn): r.parent_turn for r in run(spark, rows)} == {(1, 0): None, (1, 1): 0, (1, 2): 1, (2, 0): None, (2, 1): 0}
