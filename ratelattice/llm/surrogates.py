@@ -1,7 +1,9 @@
 """Keyed surrogates for personal data.
 
 Entities (e-mail addresses, phone numbers, IPv4 addresses, card and social security numbers,
-secrets, names behind a title) are replaced by surrogates of the same type and format.
+secrets, names behind a title and wherever they recur in the document) are replaced by surrogates
+of the same type and format.  A name goes on over capitalised words, initials and particles; past a
+line break only over words that the document doesn't write small.
 
 Numbers, secrets and the parts of addresses pass through a keyed permutation of the strings of
 their length and alphabet, applied again until the result is valid for its type (Luhn digit,
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -47,15 +50,19 @@ SYLLABLES = {
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 PATTERNS = {
     "email": r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}",
-    "secret": r"(?i:\b(?:token|password|passwd|secret|api_?key)\b[\"']?\s*[=:]\s*[\"']?)(?P<secret>[0-9a-fA-F]{12,128})\b",
+    "secret": r"(?i:(?<![^\W_])(?P<word>token|password|passwd|secret|api_?key)\b[\"']?\s*(?P<sign>=(?![=>])|:(?!:))\s*)(?:(?P<quote>[\"'])(?P<quoted>(?:(?!(?P=quote))[^\n])+)(?P=quote)|[\"']?(?P<bare>[^\s\"']+))",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
+    "phone": r"(?<![\d+])(?:\+\d(?:[ ./-]?\(?\d\)?){7,14}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4})(?!\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "name": rf"\b(?P<title>{'|'.join([*MALE, *FEMALE, *NEUTRAL])})\.?\s+(?P<name>(?=[^\W\d_]){_NAME}(?: {_NAME})?)",
+    "name": rf"\b(?P<title>{'|'.join([*MALE, *FEMALE, *NEUTRAL])})\.?\s+(?P<name>{_NAME})",
 }
+PARTICLES = frozenset("van von der den de del della di da dos das du la le ten ter zu zur af av y e i bin ibn al el st".split())
 _FINDERS = [(kind, re.compile(pattern)) for kind, pattern in PATTERNS.items()]
 _DIGITS = re.compile(r"\d")
+_WORD = re.compile(_NAME)
+_GAP = re.compile(r"[^\S\n]*\n?[^\S\n]*")
+_HEX = re.compile(r"[0-9a-fA-F]+")
 
 
 def _may_hold(text: str) -> set[str]:
@@ -63,7 +70,7 @@ def _may_hold(text: str) -> set[str]:
     out = {"email"} if "@" in text else set()
     if _DIGITS.search(text):
         out |= {"ipv4"} if text.count(".") > 2 else set()
-        out |= {"ssn", "phone"} if "-" in text or " " in text or "." in text else set()
+        out |= {"ssn", "phone"} if any(c in text for c in "- .+") else set()
         out |= {"card"}
     if "=" in text or ":" in text:
         out.add("secret")
@@ -80,33 +87,81 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _ascii_digits(value: str) -> str:
+    return "".join(str(unicodedata.decimal(c)) for c in value if c.isdecimal())
+
+
+def _name_words(text: str, start: int) -> list[tuple[int, int]]:
+    """The spans of the capitalised words of the name that begins at ``start``."""
+    out, at, broken = [], start, False
+    while (m := _WORD.match(text, at)) is not None:
+        word = m[0]
+        end = m.end() - 2 * (word[-2:].lower() in ("'s", "’s"))
+        initial = len(word) == 1 and text[m.end() : m.end() + 1] == "."
+        if word[0].isupper():
+            if out and (len(word) == 1 and not initial or broken and re.search(rf"\b{re.escape(word.lower())}\b", text)):
+                break
+            out.append((at, end))
+        elif word not in PARTICLES:
+            break
+        gap = _GAP.match(text, m.end() + initial)
+        if end < m.end() or gap.end() == m.end() and not initial:
+            break
+        at, broken = gap.end(), "\n" in gap[0]
+    return out
+
+
+def _secret_span(text: str, m: re.Match) -> tuple[int, int]:
+    """The value of a secret; empty for a plain word in prose after a colon."""
+    if m["quoted"] is not None:
+        return m.span("quoted")
+    start, end = m.span("bare")
+    before = m.start()
+    while before and (text[before - 1].isalnum() or text[before - 1] == "_"):
+        before -= 1
+    if before and text[before - 1] in "?&":  # a parameter of an address
+        end = start + len(re.split("[&#]", text[start:end])[0])
+    value = text[start:end].rstrip(".,;:!?)]}>") or text[start:end]
+    prose = m["sign"] == ":" and not m["word"].lower().startswith("pass") and value.isalpha() and value in (value.lower(), value.capitalize()) and not (len(value) >= 12 and _HEX.fullmatch(value))
+    return start, start if prose else start + len(value)
+
+
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of the entities, ascending, not overlapping."""
     found: list[tuple[int, int, str, str]] = []
+    known: dict[str, str] = {}
     may = _may_hold(text)
     for kind, finder in _FINDERS:
         if kind not in may:
             continue
         for m in finder.finditer(text):
             if kind == "name":
-                start = m.start("name")
-                parts = m["name"].split(" ")
+                words = _name_words(text, m.start("name"))
                 gender = "m" if m["title"] in MALE else "f" if m["title"] in FEMALE else "x"
-                for i, part in enumerate(parts):
-                    if part[0].isupper():
-                        role = "surname" if i == len(parts) - 1 or not parts[-1][0].isupper() else f"given-{gender}"
-                        found.append((start, start + len(part), role, part.lower()))
-                    start += len(part) + 1
+                for i, (start, end) in enumerate(words):
+                    role = "surname" if i == len(words) - 1 else f"given-{gender}"
+                    found.append((start, end, role, text[start:end].lower()))
+                    if end - start > 1 and known.get(text[start:end].lower()) != "surname":
+                        known[text[start:end].lower()] = role
                 continue
-            start, end = m.span("secret") if kind == "secret" else m.span()
+            start, end = _secret_span(text, m) if kind == "secret" else m.span()
             value = text[start:end]
-            if kind == "card" and not luhn(re.sub(r"\D", "", value)):
+            if not value:
+                continue
+            if kind == "card" and not luhn(_ascii_digits(value)):
                 continue
             if kind in ("phone", "card", "ssn"):
-                value = re.sub(r"\D", "", value)
+                value = _ascii_digits(value)
                 if kind == "phone" and len(value) == 11 and value[0] == "1":
                     value = value[1:]
-            found.append((start, end, kind, value.lower()))
+            found.append((start, end, kind, value if kind == "secret" and not _HEX.fullmatch(value) else value.lower()))
+    if known:
+        titled = {e[0] for e in found}
+        for m in _WORD.finditer(text):
+            end = m.end() - 2 * (m[0][-2:].lower() in ("'s", "’s"))
+            value = text[m.start() : end].lower()
+            if value in known and m[0][0].isupper() and m.start() not in titled:
+                found.append((m.start(), end, known[value], value))
     taken, out = 0, []
     for entity in sorted(found, key=lambda e: (e[0], -e[1])):
         if entity[0] >= taken:
@@ -148,10 +203,33 @@ def _walk(value: str, step: Callable[[str], str], valid: Callable[[str], bool])
     return value
 
 
+def _class_of(c: str) -> tuple[str, str, bool]:
+    return unicodedata.name(c, "").split(" ")[0], unicodedata.category(c), c.lower() == c
+
+
+@lru_cache(maxsize=4096)
+def _relatives(c: str) -> str:
+    """The letters or digits of the same script and case within the same 256 code points, without those of the usual alphabets."""
+    page, wanted = ord(c) & ~255, _class_of(c)
+    return "".join(x for x in map(chr, range(page, page + 256)) if x.isalnum() and _class_of(x) == wanted and x not in LATIN + LATIN.upper() + DIGITS + CYRILLIC + GREEK)
+
+
+def _drawn_text(canonical: str, key: bytes, tweak: str, attempt: int) -> str:
+    """Letters drawn for a text that has none to permute or whose format is exhausted; longer with every attempt."""
+    number, made = _number(key, "drawn", tweak, canonical), ""
+    for _ in range(8 + attempt):
+        number, letter = divmod(number, 26)
+        made += LATIN[letter]
+        number = number or _number(key, tweak, canonical, made)
+    return made
+
+
 def _letters(text: str, key: bytes, tweak: str) -> str:
     """Permutes the letters of each script and the digits in place; other characters stay."""
     out = list(text)
-    for name, alphabet in (("latin", LATIN), ("digits", DIGITS), ("cyrillic", CYRILLIC), ("greek", GREEK)):
+    usual = {"latin": LATIN, "upper": LATIN.upper(), "digits": DIGITS, "cyrillic": CYRILLIC, "greek": GREEK}
+    others = {_relatives(c) for c in text if c.isalnum() and not any(c in a for a in usual.values())}
+    for name, alphabet in [*usual.items(), *((a[0], a) for a in sorted(others))]:
         at = [i for i, c in enumerate(text) if c in alphabet]
         if at:
             for i, c in zip(at, permuted("".join(text[i] for i in at), alphabet, key, f"{tweak}{name}"), strict=True):
@@ -169,9 +247,11 @@ def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
         host, top = domain.rsplit(".", 1)
-        return f"{_letters(local, key, tweak)}@{_letters(host, key, tweak + 'host')}.{top}"
+        made = f"{_letters(local, key, tweak)}@{_letters(host, key, tweak + 'host')}.{top}"
+        return made if made != canonical and attempt < 4 else f"{_drawn_text(canonical, key, tweak, attempt)}@{_letters(host, key, tweak + 'host')}.{top}"
     if kind == "secret":
-        return permuted(canonical, HEX, key, tweak)
+        made = permuted(canonical, HEX, key, tweak) if _HEX.fullmatch(canonical) else _letters(canonical, key, tweak)
+        return made if made != canonical and attempt < 4 else _drawn_text(canonical, key, tweak, attempt)
     if kind == "ipv4":
         number = "".join(f"{int(o):02x}" for o in canonical.split("."))
         usable = lambda h: h[:2] not in ("00", "7f", "ff") and h[6:] not in ("00", "ff")
@@ -197,12 +277,12 @@ def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
 def shaped(original: str, made: str, kind: str) -> str:
     """The surrogate in the format of one mention: its separators and the case of its letters."""
     if kind in ("phone", "card", "ssn"):
-        digits = [c for c in original if c.isdigit()]
+        digits = [str(unicodedata.decimal(c)) for c in original if c.isdecimal()]
         lead = "".join(digits[: len(digits) - len(made)])
         source = iter(lead + made)
-        return "".join(next(source) if c.isdigit() else c for c in original)
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + int(next(source))) if c.isdecimal() else c for c in original)
     if kind in ("email", "secret"):
-        return "".join(m.upper() if o.isupper() else m for o, m in zip(original, made, strict=True)) if len(original) == len(made) else made
+        return "".join(m.upper() if o.isupper() and len(m.upper()) == 1 else m for o, m in zip(original, made, strict=True)) if len(original) == len(made) else made
     if kind == "ipv4":
         return made
     return made.upper() if len(original) > 1 and original.isupper() else made[:1].upper() + made[1:]

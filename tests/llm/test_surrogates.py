@@ -62,3 +62,51 @@ def test_empty_table_and_no_entity(spark):
 @pytest.mark.parametrize("text", ["12345", "version 1.2.3.4.5", "4111 1111 1111 1112", "a@b", "2024-01-02", "Mr smith"])
 def test_no_entities(text):
     assert surrogates.find_entities(text) == []
+
+
+def words_left(text):
+    made, spans = surrogates.replaced(text, KEY, {})
+    return set(re.findall(r"\w+", made)), made, spans
+
+
+@pytest.mark.parametrize(
+    "text, hidden",
+    [
+        ("Mr John Michael Smith came", "John Michael Smith"),
+        ("Herr Ludwig van Beethoven spielt", "Ludwig Beethoven"),
+        ("we saw Mr John\nSmith there", "John Smith"),
+        ("Dr. J. Robert Oppenheimer spoke. Later Oppenheimer's friend met Robert.", "Robert Oppenheimer"),
+    ],
+)
+def test_whole_names_wherever_they_stand(text, hidden):
+    left, made, _ = words_left(text)
+    assert not left & set(hidden.split()) and len(made.split()) == len(text.split())
+
+
+def test_recurring_names_keep_their_surrogate_and_other_words_stay():
+    _, made, spans = words_left("Mr Smith\nThe end of the day. I saw Smith, and I left.")
+    parts = [made[a:b] for a, b, _ in spans]
+    assert len(parts) == 2 and parts[0] == parts[1] and made.replace(parts[0], "Smith") == "Mr Smith\nThe end of the day. I saw Smith, and I left."
+
+
+@pytest.mark.parametrize(
+    "secret",
+    ["f" * 127 + "0a", "hunter2", "aGVsbG8+d29ybGQ/Zm9v==", "秘密の言葉", "correct horse battery"],
+)
+def test_secrets_of_any_alphabet_and_length(secret):
+    _, made, spans = words_left(f'{{"client_secret": "{secret}", "n": 1}}')
+    assert [k for *_, k in spans] == ["secret"] and secret not in made and made.endswith('", "n": 1}')
+    assert surrogates.find_entities("The secret: patience.") == [] and surrogates.find_entities("password: patience")
+    assert surrogates.find_entities("x?a=1&token=Ab9z&b=2")[0][:2] == (12, 16)
+
+
+@pytest.mark.parametrize("text", ["+4915112345678", "+49 151 1234 5678", "٣٨٦-٥٥٥-٣٧٣٣", "日本@例え.jp", "_@-.com"])
+def test_numbers_and_addresses_of_any_script_change(text):
+    _, made, spans = words_left(f"see {text} there")
+    assert len(spans) == 1 and made != f"see {text} there"
+
+
+def test_addresses_outside_the_alphabets_are_settled(spark):
+    rows = [(1, "日本@例え.jp"), (2, "_@-.com"), (3, "日@例.jp or password=a")]
+    got = {r.doc_id: r.text for r in surrogates.pseudonymise(documents(spark, rows), KEY).collect()}
+    assert len(got) == 3 and all(got[i] != t for i, t in rows)
