@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ratelattice.llm import packing, pivotal, quotientfilter, setsketch, toxicity
 from ratelattice.llm.common import table
 from ratelattice.llm.queries import tokenizer_path
-from ratelattice.sources.kept import shared_folder
+from ratelattice.skew import running_total
+from ratelattice.sources.kept import keep, shared_folder
 
 REJECTED_FROM = 0.5
 
@@ -49,10 +50,17 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: five-word shingles, resemblance 0.8 or more."""
-    found = setsketch.near_duplicates(docs, words=5, num=80, den=100)
-    stays = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    met = docs.filter("doc_id is not null").join(stays.hint("merge"), F.col("doc_id") == F.col("__id"))
-    return _ranked(met, "__id").filter("__nth = 1").select(_columns(docs)).unionByName(docs.filter("doc_id is null"))
+    of = F.unhex(F.sha2(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8"), 256))
+    hashed = docs.withColumn("__of", of)
+    # rows are known by doc_id and text: numbered in that order, so the smallest doc_id stays, those without one last
+    keys = hashed.select(F.col("doc_id").isNull().alias("__none"), F.col("doc_id").alias("__doc"), F.col("__of").alias("__sha")).distinct()
+    ids = keep(running_total(keys, [], ["__none", "__doc", "__sha"], "__id"), "row_ids").drop("__none")
+    met = hashed.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__of") == F.col("__sha")))
+    met = keep(met.select(*_columns(docs), "__id"), "numbered")
+    found = setsketch.near_duplicates(met.select(F.col("__id").alias("doc_id"), "text"), words=5, num=80, den=100)
+    stays = found.filter("kept").select(F.col("doc_id").alias("__stays")).distinct()
+    left = met.join(stays.hint("merge"), F.col("__id") == F.col("__stays"))
+    return _ranked(left, "__id").filter("__nth = 1").select(_columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
