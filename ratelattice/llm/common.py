@@ -86,6 +86,36 @@ def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
         yield rest
 
 
+class Heaps:
+    """The ``k`` first (highest score, then smallest id) offers of each of ``n`` rows; memory stays in proportion to n * k."""
+
+    def __init__(self, n: int, k: int, least: np.ndarray | None = None):
+        self.n, self.k = n, k
+        self.least = np.full(n, np.iinfo(np.int64).min) if least is None else least.copy()  # no lower score can enter
+        self.kept = [np.empty(0, dtype=np.int64) for _ in range(3)]
+        self.waiting: list[list[np.ndarray]] = []
+        self.waits = 0
+
+    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        enter = scores >= self.least[rows]
+        self.waiting.append([rows[enter], scores[enter], ids[enter]])
+        self.waits += int(enter.sum())
+        if self.waits > max(1 << 16, self.n * self.k):
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, scores, ids) kept so far, in order."""
+        rows, scores, ids = (np.concatenate([self.kept[c], *[w[c] for w in self.waiting]]) for c in range(3))
+        order = np.lexsort((ids, -scores, rows))
+        rows, scores, ids = rows[order], scores[order], ids[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        first = place < self.k
+        full = place == self.k - 1
+        self.least[rows[full]] = np.maximum(self.least[rows[full]], scores[full])
+        self.kept, self.waiting, self.waits = [rows[first], scores[first], ids[first]], [], 0
+        return tuple(self.kept)
+
+
 class Forest:
     """Union by smaller root over the positions of one block of rows."""
 
