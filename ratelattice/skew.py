@@ -177,3 +177,45 @@ def carried(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: d
         return joined.withColumns({new: F.coalesce(new, f"__e_{new}") for new in columns}).drop(_SLICE, *[f"__e_{new}" for new in columns])
 
     return _windowed(df, keys, order, whole, sliced)
+
+
+_KINDS = {"sum": (F.sum, lambda one, other: one + other), "min": (F.min, F.least), "max": (F.max, F.greatest)}
+
+
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, tuple[str, str]]) -> DataFrame:
+    """Adds ``columns`` (new name -> (kind, source column)): aggregates over the rows before each row of its group.
+
+    Kinds are sum (0 where nothing comes before), min, max and last (the last non-null value).
+    ``order`` must be unique within a group.
+    """
+
+    def made(name: str, kind: str, over: Window, source: str) -> Column:
+        if kind == "last":
+            return F.last(source, ignorenulls=True).over(over)
+        value = _KINDS[kind][0](source).over(over)
+        return F.coalesce(value, F.lit(0)) if kind == "sum" else value
+
+    def whole(part: DataFrame) -> DataFrame:
+        before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return part.withColumns({new: made(new, kind, before, old) for new, (kind, old) in columns.items()})
+
+    def sliced(part: DataFrame) -> DataFrame:
+        before = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        inner = part.withColumns({new: made(new, kind, before, old) for new, (kind, old) in columns.items()})
+        at = F.struct(*order)
+        ends = part.groupBy(*keys, _SLICE).agg(
+            *[
+                (F.max_by(F.col(old), F.when(F.col(old).isNotNull(), at)) if kind == "last" else _KINDS[kind][0](old)).alias(f"__e_{new}")
+                for new, (kind, old) in columns.items()
+            ]
+        )
+        earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.withColumns({f"__e_{new}": made(new, kind, earlier, f"__e_{new}") for new, (kind, _) in columns.items()})
+        joined = _join_slices(inner, ends, keys)
+        both = {}
+        for new, (kind, _) in columns.items():
+            mine, offset = F.col(new), F.col(f"__e_{new}")
+            both[new] = F.coalesce(mine, offset) if kind == "last" else _KINDS[kind][1](mine, offset)
+        return joined.withColumns(both).drop(_SLICE, *[f"__e_{new}" for new in columns])
+
+    return _windowed(df, keys, order, whole, sliced)

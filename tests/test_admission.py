@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ratelattice.operators import admission, checks, history
+from ratelattice.operators import admission, checks, history, settling
 from tests.tiny import TinyTables, day, entry, frame, line, nodes, rate, rows
 
 UPDATES = "req_id bigint, req_ts timestamp_ntz, rate_entry_id bigint, rate decimal(18,4), note string, attachment_id int"
@@ -107,8 +107,6 @@ def replay_updates(entries, parents, requests):
         reason = None
         if e is None:
             reason = "NOT_FOUND"
-        elif e["l2_id"] is not None and e["l3_id"] is not None and parents[e["l3_id"]] != e["l2_id"]:
-            reason = "SPANS_TWO_FAMILIES"
         elif e["rate"] == r["rate"]:
             reason = "NO_CHANGE"
         else:
@@ -135,6 +133,7 @@ def replay_updates(entries, parents, requests):
 def test_random_updates(spark, request, seed, split):
     if split:
         request.getfixturevalue("chunking")
+        request.getfixturevalue("monkeypatch").setattr(settling, "ROUNDS", 2)
     rng = random.Random(seed)
     parents = {i: 1 + i % 4 for i in range(1, 17)}
     entries, next_id = [], 1
@@ -186,8 +185,6 @@ def replay_adds(entries, parents, known, requests):
             reason = "CELL_EXISTS"
         elif l3 is not None and l3 not in parents:
             reason = "NODE_NOT_FOUND"
-        elif l3 is not None and l2 is not None and parents[l3] != l2:
-            reason = "SPANS_TWO_FAMILIES"  # settled for the batch, before what the batch itself adds
         elif l3 is not None and (l3, pl) in cells3:
             reason = "CELL_EXISTS"
         elif l3 is not None and (parents[l3], pl) not in cells2:
@@ -240,3 +237,67 @@ def test_accepted_updates_add_no_violation(spark, tables):
     broken = checks.child_sum_violations(after).select("l2_id", "product_line_id")
     assert broken.join(before, ["l2_id", "product_line_id"], "left_anti").count() == 0
     assert done.select(F.countDistinct("reason")).first()[0] >= 4
+
+
+def spanning_entries(spark, rng):
+    """Two lines over three families, with entries that are a child in one and the parent of another."""
+    parents = {1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3}
+    entries = []
+    for pl in (1, 2):
+        for l2, l3 in ((1, 3), (2, 5), (3, None)):  # 1 <- 2 <- 3: a chain of families
+            entries.append(entry(len(entries) + 1, pl, round(rng.uniform(0.1, 0.5), 2), l2=l2, l3=l3))
+        for l3 in (1, 2, 4, 6):
+            entries.append(entry(len(entries) + 1, pl, round(rng.uniform(0, 0.2), 2), l3=l3))
+    t = TinyTables(spark, product_line=[line(1), line(2)], node_l3=nodes(*[(i, p, f"D{i}", 1) for i, p in parents.items()]), rate_entry=entries)
+    return parents, entries, t
+
+
+@pytest.mark.parametrize("rounds", [1, 12])
+def test_updates_that_span_families(spark, monkeypatch, rounds):
+    """One round leaves most requests to the fold, many leave next to none."""
+    monkeypatch.setattr(settling, "ROUNDS", rounds)
+    rng = random.Random(7)
+    parents, entries, t = spanning_entries(spark, rng)
+    # a third of the requests hits one family
+    requests = [
+        {"req_id": i, "req_ts": day(rng.randint(0, 30)), "rate_entry_id": rng.choice([1, 4, 5]) if i % 3 == 0 else rng.randint(1, len(entries)), "rate": rate(round(rng.uniform(0, 0.5), 2))}
+        for i in range(150)
+    ]
+    expected, after = replay_updates(entries, parents, requests)
+    done = admission.update_rate_entries(t, updates(spark, *requests))
+    assert outcome(done) == expected and {reason for _, reason in expected.values()} >= {None, "CHILD_SUM_EXCEEDED", "BELOW_CHILD_SUM"}
+    assert dict(rows(admission.apply_rate_updates(t.rate_entry, done), "id", "rate")) == after
+
+
+@pytest.mark.parametrize("rounds", [1, 12])
+def test_adds_that_span_families(spark, monkeypatch, rounds):
+    monkeypatch.setattr(settling, "ROUNDS", rounds)
+    rng = random.Random(11)
+    parents = {i: 1 + i % 5 for i in range(1, 21)}
+    entries = [entry(1, 1, "0.6", l2=1), entry(2, 1, "0.05", l3=5)]
+    t = TinyTables(spark, product_line=[line(1)], node_l3=nodes(*[(i, p, f"D{i}", 1) for i, p in parents.items()]), rate_entry=entries)
+    requests = [
+        {"req_id": i, "req_ts": day(rng.randint(0, 9)), "rate": rate(round(rng.uniform(0, 0.3), 2)), "l2_id": rng.choice([None, 2, 3, 4, 5]), "l3_id": rng.randint(1, 20), "product_line_name": "PL1"}
+        for i in range(100)
+    ]
+    expected = replay_adds(entries, parents, {"PL1": 1}, requests)
+    done = admission.add_rate_entries(t, adds(spark, *requests))
+    assert outcome(done) == expected
+    spanning = [r for r in requests if r["l2_id"] and parents[r["l3_id"]] != r["l2_id"] and expected[r["req_id"]][0] == "INSERT"]
+    assert spanning
+
+
+def test_breached_sums_are_reported(spark):
+    t = one_family(spark, children=("0.05", "0.04"))
+    done = admission.update_rate_entries(t, updates(spark, {"req_id": 1, "rate_entry_id": 101, "rate": rate("0.07")}, {"req_id": 2, "rate_entry_id": 50, "rate": rate("0.01")}))
+    assert sorted(rows(done, "req_id", "reason", *admission.SUMS)) == [
+        (1, "CHILD_SUM_EXCEEDED", rate("0.04"), rate("0.11"), rate("0.06")), (2, "BELOW_CHILD_SUM", None, None, None),
+    ]
+
+
+def test_components(spark):
+    from ratelattice.operators.components import connected
+
+    edges = [(i, i + 1) for i in range(1, 40)] + [(50, 51), (52, 51), (60, 60), (None, 3)]
+    got = dict(rows(connected(spark.createDataFrame(edges, "a bigint, b bigint")), "node", "component"))
+    assert got == {**{i: 1 for i in range(1, 41)}, 50: 50, 51: 50, 52: 50, 60: 60}
