@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelattice.sources.kept import keep
+from ratelattice.operators.components import connected
 
 WHITE_SPACE = r"[\x20\x09-\x0D]"
 
@@ -21,30 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the undirected edges (a, b): the smallest node reachable from each node.
 
-    Alternating large-star and small-star steps; every step is a minimum per node (combined
-    before the shuffle) and a join back, and its edges are written, so that a lost executor
-    costs one step.  The nodes stay in tables throughout.  Null ends and loops are ignored.
+    Labels travel along the edges and then to the label of a label, so a round doubles their
+    reach; each round writes one table of labels.  The nodes stay in tables throughout.
+    Null ends are ignored.
     """
-    high_low = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    current = keep(high_low.filter("u > v").distinct(), "edges")
-    seen = _summary(current)
-    while seen[0]:
-        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = keep(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "lowest")
-        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = keep(large.filter("u > v").distinct(), "large")
-        lowest = keep(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
-        small = large.join(lowest, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = keep(small.union(lowest.select("u", F.col("m").alias("v"))).distinct(), "small")
-        before, seen = seen, _summary(current)
-        if before == seen:
-            break
-    nodes = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return keep(nodes.union(current.select("v", "v").distinct()), "components")
-
-
-def _summary(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+    return connected(edges.filter("a <> b"))
 
 
 def blocks(df: DataFrame, key: str, member: str, size: str, least: int, most: int) -> DataFrame:

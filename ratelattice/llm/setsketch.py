@@ -11,8 +11,9 @@ registers locality-sensitive; the number of bands follows from the wanted miss r
    smallest member, then, only in buckets that are not yet in one piece, members of different
    pieces with each other, in blocks.  A pair stays when the likelihood of the registers and
    set sizes does not rule the threshold out.
-3. The pieces these pairs form are verified on the full sets: exact intersection counts, in
-   blocks of bounded size.  Only a spanning forest of each block leaves its task.
+3. These pairs are verified on the full sets by exact intersection counts.  A piece that false
+   pairs held together has all its pairs counted, in blocks of bounded size; only a spanning
+   forest of each block leaves its task.
 4. Verified links are joined into components.
 
 No step emits the pairs of a group and no bucket is cut off: a large group costs more blocks.
@@ -240,6 +241,9 @@ def _verify_blocks(num: int, den: int) -> Callable:
                 continue
             sets = [np.frombuffer(s, dtype=np.uint64) for s in group.column("shingles").to_pylist()]
             forest = Forest(len(sets))
+            first: dict[int, int] = {}
+            for i, part in enumerate(group.column("part").to_pylist()):
+                forest.union(first.setdefault(part, i), i)  # linked already
             pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(linked_pairs(sets, num, den), 1)), strict=True) if forest.union(int(i), int(j))]
             if pairs:
                 yield _forest_rows(group, pairs)
@@ -247,6 +251,21 @@ def _verify_blocks(num: int, den: int) -> Callable:
     return run
 
 
+def _verify_edges(num: int, den: int) -> Callable:
+    """The edges that hold on the full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            holds = []
+            for one, other in zip(batch.column("s_a"), batch.column("s_b"), strict=True):
+                a, b = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (one, other))
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                holds.append(den * both >= num * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(holds, pa.bool_()))
+
+    return run
+
+
 def _shingle_rows(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -290,15 +309,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     full = sketched.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("registers").alias("registers"))
     classes = keep(classes, "classes")
-    pieces = components(_bucket_edges(classes, bands, rows, num / den))
-    sizes = keep(pieces.groupBy("component").agg(F.count("*").alias("size")), "sizes")
+    edges = keep(_bucket_edges(classes, bands, rows, num / den).distinct(), "edges")
+    pieces = components(edges)
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string").alias("text"))
     held = texts.join(pieces.hint("merge"), "node").select("node", F.col("component").alias("piece"), "text")
-    sets = keep(held.mapInArrow(_shingle_rows(words), "node bigint, piece bigint, shingles binary"), "sets")
-    sized = sets.filter(F.length("shingles") > 0).join(sizes.withColumnRenamed("component", "piece"), "piece")
-    cut = blocks(sized, "piece", "node", "size", 128, 2048)
-    links = keep(cut.mapInArrow(_verify_blocks(num, den), "a bigint, b bigint"), "links")
+    sets = keep(held.mapInArrow(_shingle_rows(words), "node bigint, piece bigint, shingles binary").filter(F.length("shingles") > 0).dropDuplicates(["node", "shingles"]), "sets")
+
+    # the edges that formed a piece first; only a piece that falls apart without the false ones needs its other pairs
+    one, other = (sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}")) for side in "ab")
+    near = keep(edges.join(one, "a").join(other, "b").mapInArrow(_verify_edges(num, den), "a bigint, b bigint"), "near")
+    parts = components(near)
+    placed = pieces.join(parts.withColumnRenamed("component", "part"), "node", "left").select("node", F.col("component").alias("piece"), F.coalesce("part", "node").alias("part"))
+    placed = keep(placed, "parts")
+    apart = placed.groupBy("piece").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")).filter("low < high and size > 2")
+    open_sets = sets.join(placed, ["node", "piece"]).join(apart.select("piece", "size"), "piece")
+    cut = blocks(open_sets, "piece", "node", "size", 128, 2048)
+    links = near.union(keep(cut.mapInArrow(_verify_blocks(num, den), "a bigint, b bigint"), "links"))
 
     owners = classes.select("digest", F.col("doc_id").alias("node"))
     placed = owners.join(components(links), "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
