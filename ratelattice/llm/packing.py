@@ -121,40 +121,77 @@ def powers(n: int) -> list[int]:
     return [1 << b for b in reversed(range(n.bit_length())) if n >> b & 1]
 
 
+class _Places:
+    """Sequences by the places they have free: a heap by (cost, sequence) per number of places, and the least of each range of numbers."""
+
+    def __init__(self, places: int):
+        self.leaves = 1 << places.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(self.leaves)]
+        self.least: list[tuple[float, int] | None] = [None] * (2 * self.leaves)
+
+    def _renew(self, free: int) -> None:
+        i = free + self.leaves
+        self.least[i] = self.heaps[free][0] if self.heaps[free] else None
+        while i > 1:
+            i //= 2
+            one, other = self.least[2 * i], self.least[2 * i + 1]
+            self.least[i] = other if one is None else one if other is None else min(one, other)
+
+    def put(self, free: int, entry: tuple[float, int]) -> None:
+        heapq.heappush(self.heaps[free], entry)
+        self._renew(free)
+
+    def take(self, free: int) -> tuple[float, int]:
+        entry = heapq.heappop(self.heaps[free])
+        self._renew(free)
+        return entry
+
+    def cheapest(self, least_free: int) -> tuple[float, int] | None:
+        """The cheapest sequence with so many free places at least."""
+        best, i, j = None, least_free + self.leaves, 2 * self.leaves
+        while i < j:
+            if i & 1:
+                found = self.least[i]
+                best = found if best is None or (found is not None and found < best) else best
+                i += 1
+            i, j = i // 2, j // 2  # the range reaches to the last leaf
+        return best
+
+    def widest(self) -> int:
+        i = 1
+        while i < self.leaves:
+            i = 2 * i + (self.least[2 * i + 1] is not None)
+        return i - self.leaves
+
+
 def pack(lengths: list[int]) -> list[list[tuple[int, int, int, int]]]:
     """Per piece its parts (start in the piece, length, sequence, offset); no place stays empty.
 
-    Every sequence holds ``CAPACITY`` ids, but for the last ones, which hold powers of two.
+    Every sequence holds ``CAPACITY`` ids, but for the last ones, which hold powers of two.  A
+    piece goes to the cheapest sequence that takes it whole, else what fits of it to the widest
+    one (the cheapest of those).
     """
     whole, rest = divmod(sum(lengths), CAPACITY)
     room = [CAPACITY] * whole + powers(rest)
     free, spent = list(room), [0.0] * len(room)
-    heap = [(0.0, s) for s in range(len(room))]
+    places = _Places(CAPACITY)
+    for s, n in enumerate(room):
+        places.heaps[n].append((0.0, s))  # in order, hence a heap
+    for n in set(room):
+        places._renew(n)
     out: list[list[tuple[int, int, int, int]]] = [[] for _ in lengths]
     for piece in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        at, n, passed = 0, lengths[piece], []
+        at, n = 0, lengths[piece]
         while at < n:
-            spot = None
-            while heap:  # the cheapest sequence that takes what is left of the piece
-                entry = heapq.heappop(heap)
-                if free[entry[1]] >= n - at:
-                    spot = entry[1]
-                    break
-                passed.append(entry)
-                if len(passed) >= 64:
-                    break
-            if spot is None:  # cut: fill the widest of the places passed over
-                passed.sort(key=lambda e: (-free[e[1]], e[1]))
-                spot = passed.pop(0)[1]
+            found = places.cheapest(n - at)
+            spot = places.take(free[found[1]] if found else places.widest())[1]
             part = min(free[spot], n - at)
             out[piece].append((at, part, spot, room[spot] - free[spot]))
             free[spot] -= part
             spent[spot] += cost(part)
             at += part
             if free[spot]:
-                passed.append((spent[spot], spot))
-        for entry in passed:
-            heapq.heappush(heap, entry)
+                places.put(free[spot], (spent[spot], spot))
     return out
 
 

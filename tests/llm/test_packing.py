@@ -70,5 +70,31 @@ def test_packing_balances_cost():
     assert max(spent[s] for s in full) < 2.2 * np.mean([spent[s] for s in full])
 
 
+def plain_pack(lengths):
+    """The rule as it reads: search all sequences for the cheapest with room, else cut at the widest."""
+    whole, rest = divmod(sum(lengths), packing.CAPACITY)
+    room = [packing.CAPACITY] * whole + packing.powers(rest)
+    free, spent, out = list(room), [0.0] * len(room), [[] for _ in lengths]
+    for piece in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        at, n = 0, lengths[piece]
+        while at < n:
+            fits = [s for s in range(len(room)) if free[s] >= n - at]
+            spot = min(fits, key=lambda s: (spent[s], s)) if fits else min((s for s in range(len(room)) if free[s]), key=lambda s: (-free[s], spent[s], s))
+            part = min(free[spot], n - at)
+            out[piece].append((at, part, spot, room[spot] - free[spot]))
+            free[spot] -= part
+            spent[spot] += packing.cost(part)
+            at += part
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_every_piece_goes_where_the_full_search_puts_it(seed):
+    rng = np.random.default_rng(seed)
+    lengths = [int(min(1023, max(1, n))) for n in rng.lognormal(4 + seed / 2, 1.2, 700)]
+    assert packing.pack(lengths) == plain_pack(lengths)
+    assert packing.pack([1] * 5) == plain_pack([1] * 5) and packing.pack([]) == []
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(documents(spark, []), tokenizer_path()).collect() == []
