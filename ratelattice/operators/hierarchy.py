@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ratelattice.functions import scalars as S
 from ratelattice.operators.lookups import entry_cells
 from ratelattice.skew import running_total
+from ratelattice.sources.kept import keep
 from ratelattice.sources.tables import RateTables
 
 DEFAULT_TODAY = "2024-05-15 00:00:00"
@@ -360,25 +361,120 @@ def group_tree_json(tables: RateTables, today: str = DEFAULT_TODAY) -> DataFrame
     return node_docs.unionByName(closing)
 
 
-def tree_search(tables: RateTables, texts: Sequence[str]) -> DataFrame:
-    """Rows of each category's tree shown for each search text.
+def _json_text(column: str) -> Column:
+    """The column as a JSON string, or null."""
+    quoted = F.to_json(F.array(column))
+    return F.when(F.col(column).isNull(), "null").otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
 
-    The groups whose label contains the text, ignoring case; where no group
-    of the category matches, the matching children of its first group that
-    has any.  The closing placeholder is a child like any other.
+
+def category_tree_json(tables: RateTables, most: int = SEGMENT_LINES) -> DataFrame:
+    """The row tree as nested JSON: (category_id, level, id, segment, children).
+
+    Children are arrays inside their parent, closed by the placeholder; folded from the lowest
+    level up.  Where the children of a node hold more than ``most`` tree rows together, they are
+    cut into segments between children, written as rows of their own under the node's (level,
+    id), and the node says how many ("segments").  The rows of level -1 are the categories.
+    So no document grows with the table.  Walked in order, a category gives ``row_tree_keys``.
     """
-    hit = F.contains(F.lower("name"), F.lower("query"))
-    groups, children = (
-        frame.select("category_id", "level", "id", "parent_id", "name", F.explode(F.array(*map(F.lit, texts))).alias("query"))
-        for frame in _paths(tables, 2)
+    frames = _paths(tables)
+    one = F.lit(1).cast("bigint").alias("size")
+    rows, below = [], None
+    for level in (3, 2, 1, 0):
+        nodes = frames[level].select("category_id", "id", "parent_id", "name")
+        head = F.concat(F.lit(f'{{"level":{level},"id":'), F.col("id"), F.lit(',"name":'), _json_text("name"))
+        if below is None:
+            done = nodes.select("category_id", "parent_id", F.col("id").alias("place"), one, F.concat(head, F.lit("}")).alias("doc"))
+        else:
+            parts, whole = _folded(below, most)
+            rows.append(_segments(parts, whole, level))
+            inside = F.when(F.col("n") == 1, F.concat(F.lit(',"children":['), "docs", F.lit("]}"))).otherwise(F.concat(F.lit(',"segments":'), F.col("n"), F.lit("}")))
+            size = F.when(F.col("n") == 1, F.col("total") + 1).otherwise(1).alias("size")
+            joined = nodes.join(whole.withColumnRenamed("parent_id", "id"), ["category_id", "id"])
+            done = joined.select("category_id", "parent_id", F.col("id").alias("place"), size, F.concat(head, inside).alias("doc"))
+        if level:
+            closing = frames[level - 1].select(
+                "category_id", F.col("id").alias("parent_id"), F.lit(AFTER_ALL).cast("bigint").alias("place"), one,
+                F.concat(F.lit(f'{{"level":{level},"parentId":'), F.col("id"), F.lit(f',"name":"{S.PLACEHOLDER}"}}')).alias("doc"),
+            )
+            done = done.unionByName(closing)
+        below = done
+    parts, _ = _folded(below, most)
+    rows.append(_segments(parts, None, -1))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _folded(below: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The children of each parent in order: their segments, and their number, size and first segment per parent."""
+    numbered = running_total(below, ["category_id", "parent_id"], ["place"], "before", F.col("size"))
+    parts = numbered.groupBy("category_id", "parent_id", F.floor(F.col("before") / most).alias("cut")).agg(
+        F.sum("size").alias("size"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "doc"))), lambda c: c["doc"]), ",").alias("docs")
     )
-    roots = groups.filter(hit)
-    closing = groups.select(
-        "category_id", F.lit(1).alias("level"), F.lit(None).cast("bigint").alias("id"), F.col("id").alias("parent_id"),
-        F.lit(S.PLACEHOLDER).alias("name"), "query",
-    )
-    below = children.unionByName(closing).filter(hit).join(roots.select("query", "category_id"), ["query", "category_id"], "left_anti")
+    parts = keep(parts, "children")
+    first = F.min(F.when(F.col("cut") == 0, F.col("docs"))).alias("docs")
+    return parts, parts.groupBy("category_id", "parent_id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), first)
+
+
+def _segments(parts: DataFrame, whole: DataFrame | None, level: int) -> DataFrame:
+    """The rows of the parents with several segments; of all parents where ``whole`` is left out."""
+    keys = ["category_id", "parent_id"]
+    cut = parts if whole is None else parts.join(whole.filter("n > 1").select(*keys), keys, "left_semi")
+    numbered = running_total(cut.select(*keys, "cut", "docs"), keys, ["cut"], "segment")
+    return numbered.select("category_id", F.lit(level).alias("level"), F.col("parent_id").alias("id"), "segment", F.concat(F.lit("["), "docs", F.lit("]")).alias("children"))
+
+
+GRAM = 3  # characters of the longest entries of the search index
+
+
+def _grams(text: Column) -> Column:
+    """The distinct pieces of up to ``GRAM`` characters, the empty one included."""
+
+    def pieces(n: int) -> Column:
+        starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    return F.array_distinct(F.concat(F.array(F.lit("")), *map(pieces, range(1, GRAM + 1))))
+
+
+def matching_labels(labels: DataFrame, queries: DataFrame) -> DataFrame:
+    """The distinct (query, label) where the label contains the query, ignoring case.
+
+    An inverted index of the labels' pieces: a query of up to ``GRAM`` characters is a piece
+    itself; a longer one is looked up by the rarest of its pieces of that length, and what that finds is checked.
+    """
+    names = labels.select("label").filter("label IS NOT NULL").distinct()
+    index = keep(names.select("label", F.explode(_grams(F.lower("label"))).alias("gram")), "grams")
+    asked = queries.select("query").filter("query IS NOT NULL").distinct().withColumn("low", F.lower("query"))
+    pieces = asked.select("query", "low", F.explode(_grams(F.col("low"))).alias("gram")).filter(F.length("gram") == F.least(F.length("low"), F.lit(GRAM)))
+    counted = pieces.join(index.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram", "left")
+    # a piece that no label has finds nothing
+    rarest = counted.groupBy("query", "low").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return rarest.join(index, "gram").filter(F.contains(F.lower("label"), F.col("low"))).select("query", "label")
+
+
+def tree_search_table(tables: RateTables, queries: DataFrame) -> DataFrame:
+    """``tree_search`` for the column ``query`` of a table."""
+    groups, children = (frame.select("category_id", "level", "id", "parent_id", "name") for frame in _paths(tables, 2))
+    # the placeholder is a child of every group, so the first group of a category stands for it
+    closing = groups.groupBy("category_id").agg(F.min("id").alias("parent_id")).select(
+        "category_id", F.lit(1).alias("level"), F.lit(None).cast("bigint").alias("id"), "parent_id", F.lit(S.PLACEHOLDER).alias("name")
+    )
+    nodes = keep(groups.unionByName(children).unionByName(closing), "searched")
+    found = keep(matching_labels(nodes.withColumnRenamed("name", "label"), queries), "found").withColumnRenamed("label", "name")
+    hits = nodes.join(found, "name")
+    roots = hits.filter("level = 0")
+    below = hits.filter("level = 1").join(roots.select("query", "category_id"), ["query", "category_id"], "left_anti")
     first = below.groupBy("query", "category_id").agg(F.min("parent_id").alias("parent_id"))
     shown = below.join(first, ["query", "category_id", "parent_id"], "left_semi")
     columns = ["query", "category_id", "level", "id", "name"]
     return roots.select(*columns).unionByName(shown.select(*columns))
+
+
+def tree_search(tables: RateTables, texts: Sequence[str]) -> DataFrame:
+    """Rows of each category's tree shown for each search text.
+
+    The groups whose label contains the text, ignoring case; where no group
+    of the category matches, the matching children of its first group that
+    has any.  The closing placeholder is a child like any other.
+    """
+    queries = tables.business_category.sparkSession.createDataFrame([(text,) for text in texts], "query string")
+    return tree_search_table(tables, queries)

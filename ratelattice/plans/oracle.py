@@ -232,7 +232,7 @@ FROM (
         FROM update_walk w JOIN update_seq s ON s.l2 = w.l2 AND s.line = w.line AND s.k = w.k + 1)
 )""",
     "update_done": """
-SELECT u.req_id, u.req_ts, u.rate_entry_id, u.rate, u.note, u.attachment_id, coalesce(u.static, w.reason) AS reason, coalesce(w.old_rate, u.own) AS old_rate
+SELECT u.req_id, u.req_ts, u.rate_entry_id, u.rate, u.note, u.attachment_id, coalesce(u.static, w.reason) AS reason, coalesce(w.old_rate, u.own) AS old_rate, w.lim, w.total
 FROM update_known u LEFT JOIN update_walk w ON w.req_id = u.req_id""",
     # add requests likewise
     "add_known": """
@@ -263,7 +263,7 @@ FROM (
   FROM add_walk w JOIN add_seq s ON s.l2 = w.l2 AND s.line = w.line AND s.k = w.k + 1
 )""",
     "add_done": """
-SELECT a.req_id, a.req_ts, a.rate, coalesce(a.static, w.reason) AS reason FROM add_known a LEFT JOIN add_walk w ON w.req_id = a.req_id""",
+SELECT a.req_id, a.req_ts, a.rate, coalesce(a.static, w.reason) AS reason, w.lim, w.total FROM add_known a LEFT JOIN add_walk w ON w.req_id = a.req_id""",
     "add_numbered": """
 SELECT req_id, req_ts, rate, CASE WHEN reason IS NULL THEN 'INSERT' ELSE 'REJECT' END AS outcome, reason,
        CASE WHEN reason IS NULL THEN (SELECT max(id) FROM rate_entry) + row_number() OVER (PARTITION BY reason IS NULL ORDER BY req_ts, req_id) END AS rate_entry_id
@@ -277,6 +277,33 @@ _MONTHS = "CASE {q} WHEN 1 THEN 'JAN-MAR' WHEN 2 THEN 'APR-JUN' WHEN 3 THEN 'JUL
 _QUARTER = "CASE {q} WHEN 1 THEN 'Q1' WHEN 2 THEN 'Q2' WHEN 3 THEN 'Q3' WHEN 4 THEN 'Q4' ELSE 'JAN-MAR' END"
 _q = "quarter(o_orderdate)"
 
+
+def _nested_tree(most: int = 1024) -> str:
+    """Children folded into their parents level by level, cut where the tree rows before them pass a multiple of ``most``."""
+    label = "CASE WHEN name IS NULL THEN 'null' ELSE to_json(name) END"
+    steps, rows = [], []
+    for level in (3, 2, 1, 0):
+        head = f"""'{{"level":{level},"id":' || t.id || ',"name":' || {label}"""
+        if level == 3:
+            made = f"SELECT category_id, parent_id, t.id AS place, 1 AS size, {head} || '}}' AS doc FROM tree t WHERE level = 3"
+        else:
+            made = f"""SELECT t.category_id, t.parent_id, t.id, CASE WHEN n = 1 THEN total + 1 ELSE 1 END,
+{head} || CASE WHEN n = 1 THEN ',"children":[' || docs || ']}}' ELSE ',"segments":' || n || '}}' END
+FROM tree t JOIN whole{level} w ON w.category_id = t.category_id AND w.parent_id = t.id WHERE level = {level}"""
+        if level:
+            made += f"""
+UNION ALL SELECT category_id, id, 9000000000000000000, 1, '{{"level":{level},"parentId":' || id || ',"name":"Add a sub group"}}' FROM tree WHERE level = {level - 1}"""
+        up = level - 1
+        steps.append(f"""below{level}(category_id, parent_id, place, size, doc) AS ({made}),
+parts{up} AS (SELECT category_id, parent_id, before // {most} AS cut, sum(size) AS size, string_agg(doc, ',' ORDER BY place) AS docs
+  FROM (SELECT *, coalesce(sum(size) OVER (PARTITION BY category_id, parent_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM below{level}) GROUP BY ALL),
+whole{up} AS (SELECT category_id, parent_id, count(*) AS n, sum(size)::BIGINT AS total, min(docs) FILTER (cut = 0) AS docs FROM parts{up} GROUP BY ALL)""".replace(f"parts-1", "parts_top").replace("whole-1", "whole_top"))
+        name = "parts_top" if level == 0 else f"parts{up}"
+        some = "" if level == 0 else f" WHERE (category_id, parent_id) IN (SELECT (category_id, parent_id) FROM whole{up} WHERE n > 1)"
+        rows.append(f"SELECT category_id, {up} AS level, parent_id AS id, row_number() OVER (PARTITION BY category_id, parent_id ORDER BY cut) - 1 AS segment, '[' || docs || ']' AS children FROM {name}{some}")
+    return "SELECT * FROM (WITH " + ",\n".join(steps) + "\n" + "\nUNION ALL ".join(rows) + ")"
+
+
 QUERIES = {
     "rate_matrix_asof": "SELECT * FROM matrix",
     "rate_matrix_sheet": "SELECT row_no, (col_no - 1) // 8 AS band, "
@@ -362,6 +389,15 @@ SELECT category_id, 1, id, name, '{s}' FROM (
 WHERE parent_id = first_parent"""
         for s in SEARCHES
     ),
+    "tree_search_table": """
+SELECT * FROM (WITH texts AS (SELECT DISTINCT substr(word, 1, 4) AS query FROM (SELECT unnest(string_split(name, ' ')) AS word FROM group_node UNION ALL SELECT unnest(string_split(name, ' ')) FROM node_l1) WHERE word <> ''),
+roots AS (SELECT category_id, 0 AS level, id, name, query FROM tree JOIN texts ON contains(lower(name), lower(query)) WHERE level = 0),
+below AS (
+  SELECT category_id, parent_id, id, name, query FROM (SELECT category_id, parent_id, id, name FROM tree WHERE level = 1
+    UNION ALL SELECT category_id, id, NULL, 'Add a sub group' FROM tree WHERE level = 0) JOIN texts ON contains(lower(name), lower(query))
+  WHERE (query, category_id) NOT IN (SELECT (query, category_id) FROM roots))
+SELECT * FROM roots UNION ALL SELECT category_id, 1, id, name, query FROM below QUALIFY parent_id = min(parent_id) OVER (PARTITION BY query, category_id))""",
+    "category_tree_json": _nested_tree(),
     "row_tree": "SELECT category_id, level, id, parent_id, name FROM tree",
     "row_tree_cells": "SELECT * FROM tree_cells",
     "row_tree_keys": "SELECT * FROM tree_keys",
@@ -446,6 +482,21 @@ FROM rate_entry WHERE l2_id IN (SELECT id FROM deleted2) OR l3_id IN (SELECT id
 SELECT level, id, arg_max(name, (req_ts, req_id)) AS name FROM rename_request r WHERE trim(name) <> '' AND EXISTS
 (SELECT 1 FROM all_nodes n WHERE n.level = r.level AND n.id = r.id) GROUP BY level, id""",
     "add_rate_entries": "SELECT req_id, outcome, reason, rate_entry_id FROM add_numbered",
+    "import_rate_rejects": """
+SELECT CASE WHEN k = 0 THEN array_to_string(cells[1:3], ',') ELSE array_to_string(cells, ',') END AS line,
+       CASE k WHEN 0 THEN 'row' WHEN 1 THEN 'c0' WHEN 2 THEN 'c1' WHEN 3 THEN 'c7' ELSE 'c6' END AS cell,
+       CASE k WHEN 1 THEN cells[1] WHEN 2 THEN cells[2] WHEN 5 THEN cells[7] END AS value,
+       CASE k WHEN 0 THEN 'SHORT_ROW' WHEN 2 THEN 'BAD_DATE' WHEN 3 THEN 'MISSING' ELSE 'BAD_NUMBER' END AS reason
+FROM (
+  SELECT o_orderkey % 6 AS k, [
+    CASE WHEN o_orderkey % 6 = 1 THEN 'x' ELSE '' END || o_orderkey, CASE WHEN o_orderkey % 6 = 2 THEN '2024-13-45' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END,
+    o_orderpriority, o_orderstatus, CAST(o_orderkey + 1 AS VARCHAR), '', CASE WHEN o_orderkey % 6 = 5 THEN '1.5' ELSE CAST(o_custkey + 1 AS VARCHAR) END,
+    CASE WHEN o_orderkey % 6 = 3 THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,4)) AS VARCHAR) END, ''] AS cells FROM orders)
+WHERE k <> 4""",
+    "rate_rejections": """
+SELECT 'update' AS kind, req_id, total - old_rate AS existing_total, total - old_rate + rate AS new_total, lim - (total - old_rate) AS max_value_allowed
+FROM update_done WHERE reason = 'CHILD_SUM_EXCEEDED'
+UNION ALL SELECT 'add', req_id, total, total + rate, lim - total FROM add_done WHERE reason = 'CHILD_SUM_EXCEEDED'""",
     "update_rate_entries": "SELECT req_id, CASE WHEN reason IS NULL THEN 'UPDATE' ELSE 'REJECT' END AS outcome, reason, old_rate, rate FROM update_done",
     "change_log_append": """
 SELECT m.top + row_number() OVER (ORDER BY created_on, kind, req_id) AS id, attachment_id, 'system' AS created_by, created_on, rate, old_rate, rate_entry_id, note

@@ -202,6 +202,17 @@ def row_tree_cells(t):
     return hierarchy.row_tree_cells(t)
 
 
+@plan
+def category_tree_json(t):
+    return hierarchy.category_tree_json(t)
+
+
+@plan
+def tree_search_table(t):
+    """Every stretch of four characters that starts a word of a node's label is searched."""
+    return hierarchy.tree_search_table(t, R.search_texts(t))
+
+
 @plan
 def row_tree_keys(t):
     return hierarchy.row_tree_keys(t)
@@ -314,6 +325,11 @@ def import_rate_entries(t):
     return sheets.parse_rate_lines(R.sheet_lines(t))
 
 
+@plan
+def import_rate_rejects(t):
+    return sheets.rate_line_rejects(R.broken_sheet_lines(t))
+
+
 @plan
 def upsert_product_lines(t):
     done = mutations.upsert_product_lines(t.product_line, R.add_line_requests(t))
@@ -367,6 +383,17 @@ def update_rate_entries(t):
     return done.select("req_id", "outcome", "reason", "old_rate", "rate")
 
 
+@plan
+def rate_rejections(t):
+    """What the sum was and may be, for every rate that breaches it."""
+    parts = {
+        "update": admission.update_rate_entries(t, R.update_rate_requests(t)),
+        "add": admission.add_rate_entries(t, R.add_rate_requests(t)),
+    }
+    breached = [df.filter("existing_total IS NOT NULL").select(F.lit(kind).alias("kind"), "req_id", *admission.SUMS) for kind, df in parts.items()]
+    return breached[0].unionByName(breached[1])
+
+
 @plan
 def change_log_append(t):
     updates = admission.update_rate_entries(t, R.update_rate_requests(t))

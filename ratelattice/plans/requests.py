@@ -194,6 +194,26 @@ def sheet_lines(tables: RateTables) -> DataFrame:
     return tables.input("orders").select(F.concat_ws(",", *[c.cast("string") for c in cells]).alias("line"))
 
 
+def broken_sheet_lines(tables: RateTables) -> DataFrame:
+    """Sheet rows of which five in six have something wrong: too short, a bad id, date, rate or line."""
+    kind = F.col("o_orderkey") % 6
+    stamp = F.when(kind == 2, "2024-13-45").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+    cells = [
+        F.when(kind == 1, F.concat(F.lit("x"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string")), stamp, F.col("o_orderpriority"), F.col("o_orderstatus"),
+        F.col("o_orderkey") + 1, F.lit(""), F.when(kind == 5, "1.5").otherwise((F.col("o_custkey") + 1).cast("string")),
+        F.when(kind == 3, "").otherwise(F.col("o_totalprice").cast(RATE).cast("string")), F.lit(""),
+    ]
+    whole = F.concat_ws(",", *[c.cast("string") for c in cells])
+    short = F.concat_ws(",", *[c.cast("string") for c in cells[:3]])
+    return tables.input("orders").select(F.when(kind == 0, short).otherwise(whole).alias("line"))
+
+
+def search_texts(tables: RateTables) -> DataFrame:
+    """The first four characters of every word of the group labels."""
+    words = F.explode(F.split("name", " ")).alias("word")
+    return tables.group_node.unionByName(tables.node_l1, allowMissingColumns=True).select(words).select(F.substring("word", 1, 4).alias("query")).filter("query <> ''").distinct()
+
+
 def rate_request_texts(tables: RateTables) -> DataFrame:
     """Every event as a JSON request; error events are cut off."""
     rate = F.col("value").cast(RATE).cast("string")

@@ -3,6 +3,8 @@
 import json
 import random
 
+import pytest
+
 from ratelattice.operators import hierarchy
 from tests.tiny import TinyTables, categories, entry, line, nodes, rows
 
@@ -165,3 +167,54 @@ def test_pivot_bands_hold_every_code(spark):
     )
     got = sorted(hierarchy.row_tree_pivot(t, 8).collect(), key=lambda r: r["band"])
     assert [float(r[f"r{i}"]) for r in got for i in range(8) if r[f"r{i}"] is not None] == [(i + 10) / 100 for i in range(20)]
+
+
+@pytest.mark.parametrize("most", [3, 1024])
+def test_nested_documents_hold_the_tree_in_key_order(spark, tables, most):
+    docs = {}
+    for r in hierarchy.category_tree_json(tables, most).collect():
+        docs.setdefault((r["category_id"], r["level"], r["id"]), {})[r["segment"]] = json.loads(r["children"])
+
+    def walk(category, children, found):
+        for child in children:
+            closing = "parentId" in child
+            found.append((category, len(found) + 1, "placeholder" if closing else "node", child["level"], child["parentId" if closing else "id"], child["name"]))
+            walk(category, child.get("children", []), found)
+            parts = docs.get((category, child["level"], child["id"]), {}) if "segments" in child else {}
+            assert len(parts) == child.get("segments", 0)
+            for i in sorted(parts):
+                walk(category, parts[i], found)
+        return found
+
+    got = []
+    for category, level, node in docs:
+        if level == -1:
+            assert node == category
+            parts = docs[category, -1, category]
+            got += walk(category, [c for i in sorted(parts) for c in parts[i]], [])
+    assert sorted(got) == sorted(rows(hierarchy.row_tree_keys(tables), "category_id", "key", "kind", "level", "id", "name"))
+
+    def count(child):
+        return 1 + sum(map(count, child.get("children", [])))
+
+    assert max(sum(map(count, part)) for parts in docs.values() for part in parts.values()) <= 2 * most + 1
+
+
+def test_search_for_a_table_of_texts(spark, tables):
+    """Ten thousand texts, of every length and with odd ones among them, against a plain search."""
+    tree = hierarchy.row_tree(tables, 2).collect()
+    pieces = sorted({r["name"][i : i + n].swapcase() for r in tree for n in (1, 2, 3, 5) for i in range(0, len(r["name"]), 7)})[:200]
+    texts = [*pieces, "", "a%", "_", "sub group", "group"] + [f"none {i}" for i in range(10_000 - len(pieces) - 5)]
+    found = hierarchy.tree_search_table(tables, spark.createDataFrame([(t,) for t in [*texts, None, "group"]], "query string"))
+    assert "Cartesian" not in found._jdf.queryExecution().executedPlan().toString() and "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = set()
+    groups = [r for r in tree if r["level"] == 0]
+    below = [(r["category_id"], r["parent_id"], r["id"], r["name"]) for r in tree if r["level"] == 1] + [(g["category_id"], g["id"], None, "Add a sub group") for g in groups]
+    for text in texts[: len(pieces) + 5]:
+        roots = [(text, g["category_id"], 0, g["id"], g["name"]) for g in groups if text.lower() in g["name"].lower()]
+        expected |= set(roots)
+        for category in {g["category_id"] for g in groups} - {r[1] for r in roots}:
+            hits = [b for b in below if b[0] == category and text.lower() in b[3].lower()]
+            expected |= {(text, category, 1, b[2], b[3]) for b in hits if b[1] == min(h[1] for h in hits)}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected

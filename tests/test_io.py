@@ -25,6 +25,25 @@ def test_sheet(spark, tmp_path):
     ]
 
 
+def test_sheet_rejects_name_every_lost_cell(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow("abcdefghi")
+        out.writerow(["1", "2024-01-02T03:04:05", "me", "two\nlines", "4", "", "6", "0.25", ""])
+        out.writerow(["x", "2024-01-32", "me", "n", "4.5", "5", "99999999999999999999999", "1,5", "8"])
+        out.writerow(["", "", "", "", "", "", "", "", ""])
+        out.writerow(["3", "2024-01-02T03:04:05"])
+        out.writerow(["4", "2024-01-02T03:04:05", "me", "n", "", "1", "1", "0.1", "", "more"])
+    read = sheets.read_rate_sheet(spark, str(path), line_breaks=True)
+    assert rows(read.filter("id = 1"), "id", "note", "rate") == [(1, "two\nlines", rate("0.25"))]
+    found = sheets.read_rate_sheet_rejects(spark, str(path), line_breaks=True)
+    assert sorted(map(repr, rows(found, "cell", "value", "reason"))) == sorted(map(repr, [
+        ("c0", "x", "BAD_NUMBER"), ("c1", "2024-01-32", "BAD_DATE"), ("c4", "4.5", "BAD_NUMBER"), ("c6", "99999999999999999999999", "BAD_NUMBER"),
+        ("c7", "1,5", "BAD_NUMBER"), ("c0", None, "MISSING"), ("c7", None, "MISSING"), ("row", None, "SHORT_ROW"), ("row", None, "LONG_ROW"),
+    ]))
+
+
 def test_stored_tables_give_the_same_answers(spark, tables, tmp_path):
     folder = str(tmp_path / "stored")
     store_tables(tables, folder)

@@ -5,7 +5,7 @@ import pytest
 from ratelattice.plans.queries import PLANS
 
 # these judge rate requests, or report on them
-FOLDED = {"add_rate_entries", "update_rate_entries", "change_log_append", "audit_rows", "rate_asof_after_updates"}
+FOLDED = {"add_rate_entries", "update_rate_entries", "change_log_append", "audit_rows", "rate_asof_after_updates", "rate_rejections"}
 
 
 def physical(df) -> str:

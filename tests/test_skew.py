@@ -70,3 +70,14 @@ def test_carried(events, chunking):
     plain = rows.withColumn("known", F.last("x", ignorenulls=True).over(upto))
     split = skew.carried(rows, ["g"], ["ts", "id"], {"known": "x"})
     assert table(split, "id", "known") == table(plain, "id", "known")
+
+
+def test_running_aggregates(events, chunking):
+    events = events.withColumn("w", F.when(F.col("id") % 5 == 0, F.col("v")))
+    before = Window.partitionBy("g").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, -1)
+    made = {"a": ("sum", "v"), "b": ("min", "w"), "c": ("max", "w"), "d": ("last", "w")}
+    plain = events.withColumns(
+        {"a": F.coalesce(F.sum("v").over(before), F.lit(0)), "b": F.min("w").over(before), "c": F.max("w").over(before), "d": F.last("w", ignorenulls=True).over(before)}
+    )
+    split = skew.running(events, ["g"], ["ts", "id"], made)
+    assert table(split, "id", *made) == table(plain, "id", *made)
