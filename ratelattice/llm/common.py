@@ -28,13 +28,13 @@ def components(edges: DataFrame) -> DataFrame:
     return connected(edges.filter("a <> b"))
 
 
-def blocks(df: DataFrame, key: str, member: str, size: str, least: int, most: int) -> DataFrame:
+def blocks(df: DataFrame, key: str, member: str, size: str, least: int, most: int, share: int = 16) -> DataFrame:
     """Every two rows of a group meet in some (key, __i, __j); __part tells a row's own part.
 
-    Groups are cut into parts of ``least`` to ``most`` rows (a sixteenth of the group in
+    Groups are cut into parts of ``least`` to ``most`` rows (one in ``share`` of the group in
     between), so that no task holds more than two parts of a group.
     """
-    part_rows = F.least(F.greatest(F.ceil(F.col(size) / 16), F.lit(least)), F.lit(most))
+    part_rows = F.least(F.greatest(F.ceil(F.col(size) / share), F.lit(least)), F.lit(most))
     cut = df.withColumn("__parts", F.ceil(F.col(size) / part_rows).cast("int"))
     cut = cut.withColumn("__part", F.pmod(F.xxhash64(member), "__parts").cast("int"))
     cut = cut.withColumn("__other", F.explode(F.expr("sequence(0, __parts - 1)")))

@@ -6,16 +6,16 @@ lines are all passages, compared in normalised form (lowered, white space and li
 collapsed), so a reply may quote any part of a message and a mail client may wrap it anew.
 
 A quoted line goes by the largest of its passages that an earlier message of its conversation
-has one level lower, else has as its own words; of several such messages by the first.  A message
+has one level lower, else has as its own words; of several such messages by the latest.  A message
 replies to the message that most lines of its lowest linked quote level come from, then the latest.
 
 The answer is one row per message without its quotes, with its place in the reply order of the
 conversation: threads by the turn of their first message, inside a thread by turn, which always
 puts a message before its replies.  Threads are found by connecting replies and originals.
 
-All columns are built-in functions.  Passages meet by their SHA-256 digests, once per (conversation,
-level, digest), combined before the shuffle, so a line repeated in a hot conversation is one row and
-no pairs arise.  Conversations without a quoted line need no passages.
+All columns are built-in functions.  Passages meet by their SHA-256 digests: those who have one and
+those who quote it are laid in the order of turns, once per (conversation, level, digest, turn), and
+the last writer is carried on to the next quotes, so no pairs arise.  Conversations without a quoted line need no passages.
 Null texts are empty; rows without conv_id or turn keep their text and link with nothing; of
 rows with one (conv_id, turn) all keep their text and share the links.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelattice.llm.common import components
-from ratelattice.skew import running_total
+from ratelattice.skew import running, running_total
 from ratelattice.sources.kept import keep
 
 _MARKS = r"^[ \t]*((?:>[ \t]*)+)"
@@ -84,15 +84,21 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     quoting = keep(known.filter(F.col("text").rlike(r"(?m)^[ \t]*>")).select("conv_id").distinct(), "quoting")
     lines = keep(passages(known.join(quoting, "conv_id", "left_semi")), "passages")
 
-    # the first message that has a passage at a level, its own words at level 0
-    has = lines.select("conv_id", "turn", F.col("level").alias("at"), F.explode(F.array("block", "paragraph", "line")).alias("digest"))
-    wrote = keep(has.groupBy("conv_id", "at", "digest").agg(F.min("turn").alias("parent")), "wrote")
     quoted = lines.filter("level > 0").groupBy("conv_id", "turn", "level", "block", "paragraph", "line").agg(F.count("*").alias("n"))
     quoted = keep(quoted, "quoted")
     # sought one level lower, then among the own words, each time in the largest passage first
     sought = [(F.col("level") - 1, c) for c in ("block", "paragraph", "line")] + [(F.when(F.col("level") > 1, 0), c) for c in ("block", "paragraph", "line")]
     sought = F.explode(F.array(*[F.struct(F.lit(i).alias("rank"), at.alias("at"), F.col(c).alias("digest")) for i, (at, c) in enumerate(sought)]))
-    met = quoted.withColumn("s", sought).select(*quoted.columns, "s.*").join(wrote, ["conv_id", "at", "digest"]).filter("parent < turn")
+    sought = keep(quoted.withColumn("s", sought).select(*quoted.columns, "s.*").filter("at IS NOT NULL"), "sought")
+
+    # the latest earlier message that has a passage at a level, its own words at level 0
+    key = ["conv_id", "at", "digest"]
+    has = lines.select("conv_id", "turn", F.col("level").alias("at"), F.explode(F.array("block", "paragraph", "line")).alias("digest"))
+    writers = has.select(*key, "turn", F.lit(1).alias("kind"), F.col("turn").alias("wrote")).distinct()
+    seekers = sought.select(*key, "turn", F.lit(0).alias("kind"), F.lit(None).cast(has.schema["turn"].dataType).alias("wrote")).distinct()
+    laid = running(writers.unionByName(seekers), key, ["turn", "kind"], {"parent": ("last", "wrote")})
+    found = laid.filter("kind = 0 AND parent IS NOT NULL").select(*key, "turn", "parent")
+    met = sought.join(found, [*key, "turn"])
     sure = met.groupBy(*quoted.columns).agg(F.min_by("parent", "rank").alias("parent"), (F.min("rank") < 3).alias("near"))
     sure = keep(sure, "sure")
 

@@ -295,7 +295,7 @@ def _bucket_edges(classes: DataFrame, bands: int, rows: int, threshold: float) -
     apart = placed.groupBy("key").agg(F.min("piece").alias("low"), F.max("piece").alias("high"), F.count("*").alias("n")).filter("low < high and n > 2")
     apart = keep(apart.select("key"), "apart")
     open_rows = placed.join(apart, "key").join(sketch.toDF("node", "n", "registers"), "node")
-    cut = blocks(open_rows.select("key", "node", "piece", "size", "n", "registers"), "key", "node", "size", 128, 2048)
+    cut = blocks(open_rows.select("key", "node", "piece", "size", "n", "registers"), "key", "node", "size", 128, 2048, share=4)  # a row costs more than a pair
     return centred.union(keep(cut.mapInArrow(_compare_blocks(threshold), "a bigint, b bigint"), "crossing"))
 
 

@@ -35,10 +35,10 @@ def test_links_threads_and_order(spark):
     assert got[2, 0].parent_turn is None and got[None, 3].text == "lost" and got[2, None].text == ""
 
 
-def test_a_line_said_often_links_to_its_first_message(spark):
+def test_a_line_said_often_links_to_its_latest_message(spark):
     rows = [(5, t, "user", "same line") for t in range(50)] + [(5, t, "user", "> same line\nyes") for t in range(50, 80)] + [(5, 60, "user", "> same line\nagain")]
     got = run(spark, rows)
-    assert len(got) == 81 and {r.parent_turn for r in got if r.turn >= 50} == {0}
+    assert len(got) == 81 and {r.parent_turn for r in got if r.turn >= 50} == {49}
     assert sorted(r.reply_order for r in got) == list(range(81))
 
 
@@ -83,3 +83,31 @@ def test_deeper_quotes_give_a_parent_where_the_first_level_does_not(spark):
         (2, 1, "user", ">> Question\nYes"),
     ]
     assert {(r.conv_id, r.turn): r.parent_turn for r in run(spark, rows)} == {(1, 0): None, (1, 1): 0, (1, 2): 1, (2, 0): None, (2, 1): 0}
+
+
+def brute_parents(rows):
+    """Replies of one quoted line each, by a plain search backwards."""
+    out = {}
+    for conv, turn, _, text in rows:
+        quoted = [x[2:] for x in text.split("\n") if x.startswith("> ")]
+        earlier = [(t, own) for c, t, _, own in rows if c == conv and t < turn]
+        hits = [t for t, own in earlier if quoted and quoted[0] in own.split("\n")]
+        out[conv, turn] = max(hits, default=None)
+    return out
+
+
+def test_generated_threads_match_a_search_backwards(spark):
+    """A conversation with a third of all messages, lines said again and again, a very long message."""
+    import random
+
+    rng = random.Random(3)
+    said = [f"line number {i} of what is said" for i in range(25)]
+    rows = []
+    for i in range(400):
+        conv = 0 if i % 3 == 0 else 1 + i % 20
+        own = rng.choice(said)
+        rows.append((conv, i, "user", f"> {rng.choice(said)}\n{own}" if rng.random() < 0.6 else own))
+    rows.append((1, 500, "user", "\n".join(f"word {i}" for i in range(20_000))))
+    rows.append((1, 501, "user", "> word 19999\nwell"))
+    got = {(r.conv_id, r.turn): r.parent_turn for r in run(spark, rows)}
+    assert got == brute_parents(rows)
