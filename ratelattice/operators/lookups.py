@@ -51,6 +51,12 @@ def color_by_quarter(colors: DataFrame, quarter: str | None = None) -> DataFrame
     return df if quarter is None else df.filter(F.col("fy_quarter") == quarter)
 
 
+def colors_of(colors: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` with the colour of its ``fy_quarter``: color_id, code, name, null where there is none."""
+    known = colors.select("fy_quarter", F.col("id").alias("color_id"), "code", "name")
+    return asked.join(known, "fy_quarter", "left")
+
+
 def all_nodes(tables: RateTables) -> DataFrame:
     """The four node tables as one: (level, id, parent_id, name, is_active)."""
     parts = []

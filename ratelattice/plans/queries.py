@@ -62,6 +62,11 @@ def lineage_errors(t):
     return history.lineage_errors(t)
 
 
+@plan
+def lineage_errors_with_gaps(t):
+    return history.lineage_errors(R.GapTables(t))
+
+
 @plan
 def rate_changes(t):
     return history.rate_changes(t.rate_change_log)
@@ -129,6 +134,11 @@ def color_by_quarter(t):
     return lookups.color_by_quarter(t.color_code).join(used, "id", "left_semi")
 
 
+@plan
+def colors_of_quarters(t):
+    return lookups.colors_of(t.color_code, R.asked_quarters(t))
+
+
 @plan
 def node_by_name(t):
     wanted = R.node_requests(t).select("level", "parent_id", "name").distinct()

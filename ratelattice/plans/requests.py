@@ -194,6 +194,26 @@ def sheet_lines(tables: RateTables) -> DataFrame:
     return tables.input("orders").select(F.concat_ws(",", *[c.cast("string") for c in cells]).alias("line"))
 
 
+def asked_quarters(tables: RateTables) -> DataFrame:
+    """The quarter of every order's date, or one that no colour has."""
+    quarter = F.when(F.col("o_orderstatus") == "P", "Q9").otherwise(F.concat(F.lit("Q"), F.quarter("o_orderdate")))
+    return tables.input("orders").select("o_orderkey", quarter.alias("fy_quarter"))
+
+
+class GapTables(RateTables):
+    """The tables without every fifth node, line and category."""
+
+    GAPS = ("node_l1", "node_l2", "node_l3", "product_line", "business_sub_category", "business_category")
+
+    def __init__(self, base: RateTables):
+        super().__init__(base.spark, base.directory)
+        self._base = base
+
+    def __getattr__(self, name: str) -> DataFrame:
+        df = getattr(self._base, name)
+        return df.filter(F.col("id") % 5 != 0) if name in self.GAPS else df
+
+
 def broken_sheet_lines(tables: RateTables) -> DataFrame:
     """Sheet rows of which five in six have something wrong: too short, a bad id, date, rate or line."""
     kind = F.col("o_orderkey") % 6

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +29,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCOPES: list[list[str]] = []
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables kept inside are removed at the end, so what is built on them has to be written before.
+
+    Without a scope they stay, as a result may be read at any time.
+    """
+    folders: list[str] = []
+    _SCOPES.append(folders)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(folders)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
