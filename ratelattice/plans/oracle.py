@@ -309,6 +309,18 @@ QUERIES = {
     "rate_matrix_sheet": "SELECT row_no, (col_no - 1) // 8 AS band, "
     + ", ".join(f"max(CASE WHEN (col_no - 1) % 8 = {c - 1} THEN rate END) AS c{c}" for c in range(1, 9))
     + " FROM matrix GROUP BY row_no, band",
+    "rate_sheet_labelled": """
+SELECT * FROM (WITH cols AS (
+  SELECT k.col_no, replace(p.code, '"', '') AS code, p.base_rate, s.id AS sid, replace(s.name, '"', '') AS sname, c.id AS cid, replace(c.name, '"', '') AS cname
+  FROM tree_columns k JOIN product_line p ON p.id = k.id JOIN business_sub_category s ON s.id = p.business_sub_category_id JOIN business_category c ON c.id = s.business_category_id),
+labels AS (SELECT row_no, replace(name, '"', '') AS label FROM tree_rows UNION ALL VALUES (0, ''), (1, ''), (2, ''), (3, 'Base rates')),
+cells AS (
+  SELECT 0 AS row_no, min(col_no) AS col_no, any_value(cname) AS rate FROM cols GROUP BY cid UNION ALL SELECT 1, min(col_no), any_value(sname) FROM cols GROUP BY sid
+  UNION ALL SELECT 2, col_no, code FROM cols UNION ALL SELECT 3, col_no, coalesce(CAST(base_rate AS VARCHAR), '') FROM cols
+  UNION ALL SELECT row_no, col_no, rate FROM matrix UNION ALL SELECT row_no, 1, NULL FROM labels)
+SELECT row_no, (col_no - 1) // 8 AS band, label, """
+    + ", ".join(f"max(CASE WHEN (col_no - 1) % 8 = {c - 1} THEN rate END) AS c{c}" for c in range(1, 9))
+    + " FROM cells JOIN labels USING (row_no) GROUP BY row_no, band, label)",
     "rate_asof": "SELECT * FROM asof_rate",
     "rate_asof_multi": f"""
 SELECT m.as_of, rate_entry_id, arg_max(rate, (created_on, id)) AS rate

@@ -35,6 +35,11 @@ def rate_matrix_sheet(t):
     return matrix.matrix_sheet(matrix.rate_matrix_asof(t))
 
 
+@plan
+def rate_sheet_labelled(t):
+    return matrix.labelled_sheet(t)
+
+
 @plan
 def rate_asof(t):
     return history.rate_asof(t.rate_change_log)
