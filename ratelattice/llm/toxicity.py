@@ -1,20 +1,27 @@
 """Toxicity scores from the nearest labelled examples.
 
-Texts become TF-IDF vectors of length one over the terms that tell the labels apart: words, and
-beginnings of words, chosen by the likelihood ratio of their document counts in toxic and other
-examples.  The examples lie in an inverted index: postings by term and block of examples, with
-the largest weight of each block.  A query bounds every block by these weights, visits the
-blocks in descending bound and stops below the k-th best similarity so far, so its neighbours
+Texts become TF-IDF vectors of length one over all terms of the labelled examples: words,
+and pairs of characters where a script is written without spaces.  None is left out; beginnings of
+words are added where they tell toxic examples, which catches inflections.  Each term weighs by its inverse document frequency times ``FLOOR`` plus the share of the
+label's entropy that the term takes away (supervised term weighting, after Debole and Sebastiani).
+Without that factor the neighbours of a long text are those on its topic, whatever its tone.
+Terms that no example has can't add to a product and have no document frequency; they don't
+count in the norm either.
+
+The examples lie in an inverted index in sparse form: postings by term and block of examples, with
+the largest weight of each term in each block.  A query bounds every block by these weights, visits
+the blocks in descending bound and stops below the k-th best similarity so far, so its neighbours
 are the exact ones.  Neighbours vote with weights that grow with their similarity; the vote is
 turned into a probability by a logistic curve fitted on votes that leave the example itself out.
 
 The classifier is fitted on a bounded sample of labelled rows (``examples``, half of it for each
-label, in the order of a hash); the sample, its terms and its index are bounded with it and are
+label, in the order of a hash); the sample's terms and its index are bounded with it and are
 all that comes to the driver.  Every text is then scored whole.
 
-Null and empty texts, and texts without any chosen term, have no neighbours and score the
-smoothed share of toxic examples among those without a term.  Repeated labels of a document
-count once, toxic if any says so; null labels and labels of missing documents don't count.
+Null and empty texts, and texts that share no term with an example, have no neighbours and score the
+smoothed share of toxic examples among those without a term that tells toxic ones.  Repeated
+labels of a document count once, toxic if any says so; null labels and labels of missing
+documents don't count.
 """
 
 from __future__ import annotations
@@ -22,10 +29,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -34,99 +40,138 @@ from pyspark.sql import functions as F
 
 from ratelattice.sources.kept import keep
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 8_000, 2_000, 15, 128
+EXAMPLES, NEIGHBOURS, BLOCK = 3_000, 15, 128
 CALIBRATED = 2_000  # examples whose own votes calibrate the score
-LEAST_DOCS, LEAST_RATIO = 4, 25.0  # of a term: toxic examples, likelihood ratio
+FLOOR = 0.002  # of a term's relevance: what a term weighs that says nothing about the label
+FIRST_BLOCKS = 4
+TELLING = 25.0  # likelihood ratio of terms that tell toxic examples: beginnings of words that count, words that an empty text lacks
 _PREFIXES = (4, 5, 6)
-_WORDS, _LETTER = re.compile(r"[^\W\d_]{2,}"), re.compile(r"[^\W\d_]")
+_WORDS = re.compile(r"[^\W\d_]{2,}")
+# scripts written without spaces: Thai to Myanmar, Khmer, kana and Han
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+STEEPEST = 8.0  # slope and shift of the calibration curve
+_CACHED = 500_000  # words whose terms a task remembers, no longer than 40 letters each
 
 
 def word_terms(word: str) -> list[str]:
+    if _UNSPACED.search(word):
+        return [word[i : i + 2] for i in range(len(word) - 1)]
     return [word, *(f"{word[:n]}*" for n in _PREFIXES if len(word) > n)]
 
 
 @dataclass
 class Index:
-    """Block-max inverted index of unit vectors."""
+    """Block-max inverted index of unit vectors, sparse.
 
-    idf: list[float]
+    ``postings`` are sorted by (term, example); an entry is the run of a term's postings in one block.
+    """
+
+    idf: Sequence[float]
     number: dict[str, int]
     k: int = NEIGHBOURS
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     names: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by block: its terms, their weights in each example
-    most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    postings: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0, np.int64), np.zeros(0)))
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0, np.int64),) * 3)  # block, largest weight, first posting
+    first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # of each term: its first entry
     empty_share: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
-    finder: ahocorasick.Automaton | None = None
     weight: float = 1.0
+    cache: dict[str, list[int]] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"finder": None}
+        return self.__dict__ | {"cache": {}}
+
+    def _numbers(self, word: str) -> list[int]:
+        known = self.cache.get(word)
+        if known is None:
+            known = [self.number[t] for t in word_terms(word) if t in self.number]
+            if len(self.cache) < _CACHED and len(word) <= 40:
+                self.cache[word] = known
+        return known
 
     def counts(self, text: str | None) -> Counter:
-        """How often each chosen term occurs: all terms are looked for in one pass over the text."""
-        if self.finder is None:
-            self.finder = ahocorasick.Automaton()
-            for stem in {t.rstrip("*") for t in self.number}:
-                self.finder.add_word(stem, (len(stem), self.number.get(stem), self.number.get(f"{stem}*")))
-            self.finder.make_automaton()
+        """How often each term of the examples occurs."""
         found: Counter = Counter()
-        text = (text or "").lower()
-        for last, (length, word, beginning) in self.finder.iter(text) if self.number else ():
-            first = last - length + 1
-            if first and _LETTER.match(text, first - 1):
-                continue
-            term = beginning if _LETTER.match(text, last + 1) else word
-            if term is not None:
-                found[term] += 1
+        for word, n in Counter(_WORDS.findall((text or "").lower())).items():
+            for t in self._numbers(word):
+                found[t] += n
         return found
 
+    def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in ascending order and weights of a text's unit vector; empty without a known term."""
+        found = self.counts(text)
+        terms = np.fromiter(found, np.int64, len(found))
+        order = np.argsort(terms)
+        raw = (1 + np.log(np.fromiter(found.values(), np.float64, len(found))))[order]
+        terms = terms[order]
+        raw *= np.asarray(self.idf, dtype=np.float64)[terms]
+        return terms, raw / math.sqrt(float(raw @ raw)) if len(raw) else raw
+
     def vector(self, text: str | None) -> dict[int, float]:
-        """Unit TF-IDF vector of a text; empty without a chosen term."""
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in self.counts(text).items()}
-        norm = math.sqrt(sum(v * v for v in raw.values()))
-        return {t: v / norm for t, v in sorted(raw.items())}
+        terms, weights = self.arrays(text)
+        return dict(zip(terms.tolist(), weights.tolist(), strict=True))
 
     def build(self, vectors: list[dict[int, float]], labels: list[int], names: list[int]) -> None:
-        """Examples with the same strongest terms share blocks, which keeps the bounds close."""
+        sizes = np.array([len(v) for v in vectors], dtype=np.int64)
+        terms = np.array([t for v in vectors for t in v], dtype=np.int32)
+        self.build_sparse(sizes, terms, np.array([w for v in vectors for w in v.values()], dtype=np.float32), labels, names)
+
+    def build_sparse(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray, labels: Sequence[int], names: Sequence[int]) -> None:
+        """Index of examples given as sparse rows, in their order."""
         self.labels, self.names = np.array(labels, dtype=np.float64), np.array(names, dtype=np.int64)
-        self.most = np.zeros((len(self.number), -(-len(vectors) // BLOCK)))
-        self.postings = []
-        for start in range(0, len(vectors), BLOCK):
-            part = vectors[start : start + BLOCK]
-            terms = np.array(sorted({t for v in part for t in v}), dtype=np.int64)
-            place = {t: i for i, t in enumerate(terms.tolist())}
-            weights = np.zeros((len(terms), BLOCK))
-            for i, vector in enumerate(part):
-                weights[[place[t] for t in vector], i] = list(vector.values())
-            self.most[terms, start // BLOCK] = weights.max(axis=1)
-            self.postings.append((terms, weights))
+        examples = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(terms, kind="stable")
+        terms, examples, weights = terms[order], examples[order], weights[order].astype(np.float64)
+        blocks = examples // BLOCK
+        starts = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])]) if len(terms) else np.zeros(0, np.int64)
+        most = np.maximum.reduceat(weights, starts) if len(starts) else weights
+        self.postings = (examples, weights)
+        self.entries = (blocks[starts], most, np.r_[starts, len(terms)])
+        self.first = np.searchsorted(terms[starts], np.arange(len(self.number) + 1))
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        return self.nearest_to(np.fromiter(vector, np.int64, len(vector)), np.fromiter(vector.values(), np.float64, len(vector)), without)
+
+    def nearest_to(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Positions and similarities of the k most similar examples (ties: the earlier one), most similar first."""
-        query = np.zeros(len(self.number))
-        query[list(vector)] = list(vector.values())
-        bounds = query[list(vector)] @ self.most[list(vector)]
-        found, values, least = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or bounds[block] < least - 1e-12:
-                break
-            terms, weights = self.postings[block]
-            scores = query[terms] @ weights
-            hits = np.flatnonzero(scores > max(least - 1e-12, 0))
-            values = np.concatenate([values, scores[hits]])
-            found = np.concatenate([found, hits + block * BLOCK])
+        n_blocks = -(-len(self.labels) // BLOCK)
+        entry, at = _spread(self.first[terms], self.first[terms + 1])
+        blocks, factor = self.entries[0][entry], weights[at]
+        bounds = np.bincount(blocks, self.entries[1][entry] * factor, minlength=n_blocks)
+        visit = np.argsort(-bounds, kind="stable")
+        similar, least = np.zeros(len(self.labels)), 0.0
+        for nth in range(2):
+            # the best-bounded blocks first; then all others that may hold one of the k
+            now = visit[:FIRST_BLOCKS] if nth == 0 else visit[FIRST_BLOCKS:]
+            now = now[(bounds[now] > 0) & (bounds[now] >= least - 1e-12)]
+            if 4 * len(now) > n_blocks:
+                similar = self._products(terms, weights)
+            elif len(now):
+                chosen = np.zeros(n_blocks, dtype=bool)
+                chosen[now] = True
+                hit = chosen[blocks]
+                posting, of = _spread(self.entries[2][entry[hit]], self.entries[2][entry[hit] + 1])
+                similar += np.bincount(self.postings[0][posting], self.postings[1][posting] * factor[hit][of], minlength=len(similar))
             if without >= 0:
-                values, found = values[found != without], found[found != without]
-            if len(values) >= self.k:
-                least = np.partition(values, -self.k)[-self.k]
-        order = np.lexsort((found, -np.round(values, 12)))[: self.k]
-        return found[order], values[order]
-
-    def vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray]:
+                similar[without] = 0
+            if len(similar) > self.k:
+                least = np.partition(similar, -self.k)[-self.k]
+        found = np.flatnonzero(similar >= max(least - 1e-12, 1e-300))
+        order = np.lexsort((found, -np.round(similar[found], 12)))[: self.k]
+        return found[order], similar[found[order]]
+
+    def _products(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Similarities of all examples: whole runs of postings, where most blocks have to be visited."""
+        examples, of_example = self.postings
+        runs = self.entries[2][self.first[np.stack([terms, terms + 1])]].T.tolist()
+        at = [examples[start:end] for start, end in runs]
+        products = [of_example[start:end] * w for (start, end), w in zip(runs, weights.tolist(), strict=True)]
+        return np.bincount(np.concatenate(at), np.concatenate(products), minlength=len(self.labels)) if at else np.zeros(len(self.labels))
+
+    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
         """Share of toxic neighbours, weighted by similarity and class, and the neighbours."""
-        found, values = self.nearest(vector, without)
+        found, values = self.nearest_to(terms, weights, without)
         if not len(found):
             return self.empty_share, found
         toxic = self.labels[found] > 0
@@ -134,22 +179,33 @@ class Index:
         return float((weights[toxic].sum() + self.empty_share * 0.01) / (weights.sum() + 0.01)), found
 
     def fit_curve(self, votes: np.ndarray, truth: np.ndarray, weights: np.ndarray) -> None:
-        """Logistic calibration by Newton steps, slightly ridged."""
+        """Logistic calibration by Newton steps, slightly ridged, and bounded as votes may part the labels entirely."""
         x = np.stack([_logit(votes), np.ones(len(votes))], axis=1)
         beta = np.array([1.0, 0.0])
-        for _ in range(30):
-            p = 1 / (1 + np.exp(-x @ beta))
+        for _ in range(50):
+            p = _logistic(x @ beta)
             slope = x.T @ (weights * (truth - p)) - 1e-2 * (beta - [1.0, 0.0])
             curvature = (x * (weights * p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
-            beta = beta + np.linalg.solve(curvature, slope)
-        if beta[0] > 0:
-            self.curve = (float(beta[0]), float(beta[1]))
+            step = np.linalg.solve(curvature, slope)
+            beta = np.clip(beta + step / max(1.0, float(np.abs(step).max())), [0.05, -STEEPEST], [STEEPEST, STEEPEST])
+        self.curve = (float(beta[0]), float(beta[1]))
+
+    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray]:
+        share, found = self.vote(terms, weights)
+        if not len(found):
+            return self.empty_share, found
+        return float(_logistic(self.curve[0] * _logit(share) + self.curve[1])), found
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges [start, end), and the range of each."""
+    sizes = ends - starts
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[of], of
 
-    def score(self, vector: dict[int, float]) -> tuple[float, np.ndarray]:
-        if not vector:
-            return self.empty_share, np.zeros(0, dtype=np.int64)
-        share, found = self.vote(vector)
-        return float(1 / (1 + np.exp(-(self.curve[0] * _logit(share) + self.curve[1])))), found
+
+def _logistic(x):
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
 def _logit(p):
@@ -174,16 +230,24 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def likelihood_ratio(a: Column, n_a: int, b: Column, n_b: int) -> Column:
-    """Likelihood ratio of a term in a of n_a toxic and b of n_b other examples; negative if rarer in the toxic ones."""
-    total = F.lit(0.0)
-    for k, n in ((a, n_a), (b, n_b)):
-        for seen, part in ((k, a + b), (n - k, n_a + n_b - a - b)):
-            total = total + F.when(seen > 0, 2 * seen * F.log(seen * float(n_a + n_b) / (float(n) * part))).otherwise(0.0)
-    return F.when(a * n_b > b * n_a, total).otherwise(-total)
+def likelihood_ratio(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
+    """Likelihood ratio of terms in a of n_a toxic and b of n_b other examples: twice the sample size times the mutual information."""
+    total = np.zeros(len(a))
+    for seen, n in ((a, n_a), (b, n_b)):
+        for k, part in ((seen, a + b), (n - seen, n_a + n_b - a - b)):
+            some = k > 0
+            total[some] += 2 * k[some] * np.log(k[some] * (n_a + n_b) / (float(n) * part[some]))
+    return np.maximum(total, 0.0)
+
 
+def term_weights(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
+    """Inverse document frequency of terms times their relevance to the label, never 0."""
+    n, share = n_a + n_b, n_a / (n_a + n_b)
+    entropy = -share * math.log(share) - (1 - share) * math.log(1 - share)
+    return (np.log((1 + n) / (1 + a + b)) + 1) * (FLOOR + likelihood_ratio(a, n_a, b, n_b) / (2 * n * entropy))
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, k: int = NEIGHBOURS, seed: int = 0) -> Index:
+
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS, seed: int = 0) -> Index:
     """The classifier, from at most ``examples`` labelled rows of ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     truth = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     truth = keep(truth.withColumn("toxic", (F.col("toxic") > 0).cast("int")), "labels")
@@ -203,41 +267,43 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
         return index
     counts = sample.mapInArrow(_term_counts, "term string, toxic int, n bigint").groupBy("term")
     counts = counts.agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == t, F.col("n"))), F.lit(0)).alias(name) for t, name in ((1, "a"), (0, "b"))])
-    rated = counts.filter(F.col("a") >= LEAST_DOCS).withColumn("ratio", likelihood_ratio(F.col("a"), n_toxic, F.col("b"), n_other))
-    picked = rated.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "term").limit(terms).collect()
-    index.idf = [math.log((1 + n_toxic + n_other) / (1 + r["a"] + r["b"])) + 1 for r in picked]
-    index.number = {r["term"]: i for i, r in enumerate(picked)}
-
-    rows = sample.mapInArrow(_vectors(index), "doc_id bigint, toxic int, terms array<int>, weights array<double>").collect()
-    full = [r for r in rows if r["terms"]]
-    full.sort(key=lambda r: ([t for _, t in sorted(zip(r["weights"], r["terms"], strict=True), reverse=True)[:3]], r["doc_id"]))
-    index.build([dict(zip(r["terms"], r["weights"], strict=True)) for r in full], [r["toxic"] for r in full], [r["doc_id"] for r in full])
+    seen = counts.toArrow().sort_by("term")  # as many terms as the sample has
+    a, b = (seen.column(c).to_numpy().astype(np.float64) for c in "ab")
+    telling = (a * n_other > b * n_toxic) & (likelihood_ratio(a, n_toxic, b, n_other) >= TELLING)
+    used = telling | np.array([not t.endswith("*") for t in seen.column("term").to_pylist()], dtype=bool)
+    seen, a, b, telling = seen.filter(pa.array(used)), a[used], b[used], telling[used]
+    index.idf = term_weights(a, n_toxic, b, n_other)
+    index.number = {t: i for i, t in enumerate(seen.column("term").to_pylist())}
+
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
+    rows = sample.mapInArrow(_vectors(sent), "doc_id bigint, toxic int, terms array<int>, weights array<float>").toArrow().combine_chunks()
+    sent.unpersist()
+    # examples with the same strongest terms share blocks, which keeps the bounds close
+    vectors = [(t.values.to_numpy(), w.values.to_numpy()) for t, w in zip(rows.column("terms").chunk(0), rows.column("weights").chunk(0), strict=True)]
+    names, toxic = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
+    strongest = [t[np.lexsort((t, -w))[:3]].tolist() for t, w in vectors]
+    order = sorted(range(len(names)), key=lambda i: (strongest[i], names[i]))
+    terms, weights = (np.concatenate([vectors[i][c] for i in order]) for c in (0, 1))
+    index.build_sparse(np.array([len(vectors[i][0]) for i in order]), terms, weights, [toxic[i] for i in order], [names[i] for i in order])
     # an example of the rarer label stands for fewer rows
     index.weight = (totals[0] / n_other) / (totals[1] / n_toxic)
-    empty = Counter(r["toxic"] for r in rows if not r["terms"])
-    mass = (empty[1] + 0.5) + (empty[0] + 0.5) * index.weight
-    index.empty_share = (empty[1] + 0.5) / mass
-    if full:
-        probes = range(0, len(full), -(-len(full) // CALIBRATED))
-        votes = np.array([index.vote(dict(zip(full[i]["terms"], full[i]["weights"], strict=True)), i)[0] for i in probes])
-        truth = index.labels[list(probes)]
-        index.fit_curve(votes, truth, np.where(truth > 0, 1.0, index.weight))
+    empty = Counter(label for (t, _), label in zip(vectors, toxic, strict=True) if not telling[t].any())
+    index.empty_share = (empty[1] + 0.5) / ((empty[1] + 0.5) + (empty[0] + 0.5) * index.weight)
+    probes = range(0, len(order), -(-len(order) // CALIBRATED))
+    votes = np.array([index.vote(vectors[order[i]][0].astype(np.int64), vectors[order[i]][1].astype(np.float64), i)[0] for i in probes])
+    truth = index.labels[list(probes)]
+    index.fit_curve(votes, truth, np.where(truth > 0, 1.0, index.weight))
     return index
 
 
-def _vectors(index: Index) -> Callable:
+def _vectors(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = cloudpickle.loads(sent.value)
         for batch in batches:
-            made = [index.vector(t) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    batch.column("toxic"),
-                    pa.array([list(v) for v in made], pa.list_(pa.int32())),
-                    pa.array([list(v.values()) for v in made], pa.list_(pa.float64())),
-                ],
-                names=["doc_id", "toxic", "terms", "weights"],
-            )
+            made = [index.arrays(t) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(t) for t, _ in made)]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, np.concatenate([m[c] for m in made]).astype(kind)) if made else pa.array([], pa.list_(pa.from_numpy_dtype(kind))) for c, kind in ((0, np.int32), (1, np.float32))]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), *lists], names=["doc_id", "toxic", "terms", "weights"])
 
     return run
 
@@ -247,7 +313,7 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
 
     The evidence holds the doc_ids of the nearest examples, nearest first.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))  # bounded by ``examples`` and ``terms``
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))  # bounded by ``examples``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = cloudpickle.loads(sent.value)
@@ -256,7 +322,7 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
                 part = batch.slice(start, 256)
                 scores, evidence = [], []
                 for text in part.column(1).to_pylist():
-                    value, found = index.score(index.vector(text))
+                    value, found = index.score(*index.arrays(text))
                     scores.append(value)
                     evidence.append(index.names[found])
                 yield pa.record_batch([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["row", "score", "evidence"])

@@ -84,3 +84,76 @@ def test_without_both_labels(spark, labels):
 def test_registered_query(spark):
     got = queries.op4_toxicity(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 200 and all(r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_every_row_meets_its_nearest_examples_over_the_full_vocabulary(spark):
+    """Brute force: dense vectors over every word of the examples, all products, the k largest."""
+    rows, labels = corpus(160)
+    rows += [(5000, "日本語の文章です 日本語"), (5001, "這是一個句子"), (5002, f"{sentence(3, 4000)} rotten"), (5003, "unheard-of"), (5004, None)]
+    labels += [(5000, 0, 1), (5001, 1, 1)]
+    docs, table = documents(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int, text int")
+    index = toxicity.fit(docs, table, k=5)
+    texts, truth = dict(rows), {i: t for i, t, _ in labels}
+    ids = index.names.tolist()
+    assert sorted(ids) == sorted(truth)
+
+    def bag(text):
+        found = Counter()
+        for word in toxicity._WORDS.findall((text or "").lower()):
+            found.update(toxicity.word_terms(word))
+        return found
+
+    bags = {i: bag(t) for i, t in texts.items()}
+    everything = {t for i in ids for t in bags[i]}
+    plain = {t for t in everything if not t.endswith("*")}
+    assert plain <= set(index.number) and all(t in everything for t in index.number)
+    terms = sorted(index.number)
+    n = len(ids)
+    n_toxic = sum(truth.values())
+    h = -sum(p * np.log(p) for p in (n_toxic / n, 1 - n_toxic / n))
+    weight = []
+    for t in terms:
+        having = [truth[i] for i in ids if t in bags[i]]
+        a, df, gain = sum(having), len(having), 0.0
+        for some, label in ((a, n_toxic), (df - a, n - n_toxic)):
+            for k, part in ((some, df), (label - some, n - df)):
+                gain += k / n * np.log(k * n / (label * part)) if k else 0.0
+        weight.append((np.log((1 + n) / (1 + df)) + 1) * (toxicity.FLOOR + max(gain, 0) / h))
+    dense = {i: np.array([(1 + np.log(b[t])) * w if b[t] else 0.0 for t, w in zip(terms, weight, strict=True)]) for i, b in bags.items()}
+    dense = {i: v / max(np.linalg.norm(v), 1e-300) for i, v in dense.items()}
+    for i, text in texts.items():
+        all_products = sorted((float(dense[i] @ dense[j]) for j in ids), reverse=True)
+        found, values = index.nearest_to(*index.arrays(text))
+        assert values.tolist() == pytest.approx([v for v in all_products[:5] if v > 0], rel=1e-5)
+        for j, v in zip(found, values, strict=True):
+            assert float(dense[i] @ dense[ids[j]]) == pytest.approx(v, rel=1e-5)
+        assert len(found) or i in (5003, 5004)
+    got = {r.row.doc_id: r for r in toxicity.score_texts(docs, index).collect()}
+    assert got[5002].score > 0.5 and got[5003].score == got[5004].score == index.empty_share
+
+
+def test_many_blocks_and_left_out_examples():
+    rng = np.random.default_rng(1)
+    index = toxicity.Index([], {f"t{i}": i for i in range(3000)}, k=9)
+    vectors = []
+    for i in range(2000):
+        terms = np.unique(np.r_[rng.integers(0, 3000, 3), (i // 128) * 40 + rng.integers(0, 40, 4)])
+        values = rng.random(len(terms)) + 0.1
+        vectors.append(dict(zip(map(int, terms), values / np.linalg.norm(values), strict=True)))
+    vectors[7] = vectors[1990]  # a tie
+    index.build(vectors, [0] * 2000, list(range(2000)))
+    dense = np.zeros((2000, 3000))
+    for i, v in enumerate(vectors):
+        dense[i, list(v)] = list(v.values())
+    for q in [*range(0, 2000, 40), 7, 1990]:
+        exact = np.round(dense @ dense[q], 6)
+        exact[q] = -1
+        found, values = index.nearest(vectors[q], without=q)
+        assert q not in found and sorted(values) == pytest.approx(sorted(exact[exact > 0])[-9:], abs=1e-5)
+
+
+def test_votes_that_part_the_labels_give_a_bounded_curve():
+    index = toxicity.Index([], {})
+    with np.errstate(all="raise"):
+        index.fit_curve(np.array([0.0] * 50 + [1.0] * 50), np.array([0.0] * 50 + [1.0] * 50), np.ones(100))
+    assert 0 < index.curve[0] <= toxicity.STEEPEST and abs(index.curve[1]) <= toxicity.STEEPEST
