@@ -322,6 +322,7 @@ SELECT row_no, (col_no - 1) // 8 AS band, label, """
     + ", ".join(f"max(CASE WHEN (col_no - 1) % 8 = {c - 1} THEN rate END) AS c{c}" for c in range(1, 9))
     + " FROM cells JOIN labels USING (row_no) GROUP BY row_no, band, label)",
     "rate_asof": "SELECT * FROM asof_rate",
+    "rate_asof_snapshots": "SELECT * FROM asof_rate",
     "rate_asof_multi": f"""
 SELECT m.as_of, rate_entry_id, arg_max(rate, (created_on, id)) AS rate
 FROM rate_change_log JOIN (SELECT unnest([{", ".join(f"TIMESTAMP '{m}'" for m in MOMENTS)}]) AS as_of) m ON created_on <= m.as_of

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelattice.functions import scalars as S
-from ratelattice.operators import admission, checks, hierarchy, history, lookups, matrix, mutations
+from ratelattice.operators import admission, checks, hierarchy, history, lookups, matrix, mutations, snapshots
 from ratelattice.plans import requests as R
 from ratelattice.sources import sheets
+from ratelattice.sources.kept import shared_folder
 from ratelattice.sources.tables import RateTables
 
 MOMENTS = [f"{year}-06-30 23:59:00" for year in range(1993, 2001)]
@@ -45,6 +48,13 @@ def rate_asof(t):
     return history.rate_asof(t.rate_change_log)
 
 
+@plan
+def rate_asof_snapshots(t):
+    folder = f"{shared_folder(t.spark)}/rates-{uuid.uuid4().hex}"
+    snapshots.create_store(t.rate_change_log, folder, [date(1996, 1, 1), date(1998, 1, 1)])
+    return snapshots.rate_asof_stored(t.spark, folder, history.DEFAULT_AS_OF)
+
+
 @plan
 def rate_asof_multi(t):
     return history.rate_asof_multi(t.rate_change_log, MOMENTS)
