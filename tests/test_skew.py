@@ -81,3 +81,19 @@ def test_running_aggregates(events, chunking):
     )
     split = skew.running(events, ["g"], ["ts", "id"], made)
     assert table(split, "id", *made) == table(plain, "id", *made)
+
+
+def test_input_without_hot_groups_is_not_copied(events, chunking, spark, monkeypatch):
+    spark.conf.set(skew.MAX_GROUP_ROWS, "2000")
+    kept, keep = [], skew.keep
+    monkeypatch.setattr(skew, "keep", lambda df, name: kept.append((name, df.count())) or keep(df, name))
+    skew.neighbour(events, ["g"], ["ts", "id"], {"p": "v"}).collect()
+    skew.running(events, ["g"], ["ts", "id"], {"a": ("sum", "v")}).collect()
+    assert not any(rows for _, rows in kept)
+
+
+def test_hot_groups_of_one_bucket_are_told_apart(events, chunking, spark, monkeypatch):
+    monkeypatch.setattr(skew, "BUCKETS", 1)
+    spark.conf.set(skew.MAX_GROUP_ROWS, "500")
+    assert [r["g"] for r in skew.hot_groups(events, ["g"]).collect()] == [0]
+    assert sorted(skew.neighbour(events, ["g"], ["ts", "id"], {"p": "v"}).columns) == ["g", "id", "p", "ts", "v"]
