@@ -60,3 +60,11 @@ def test_wrapped_one_word_and_unlisted_licences(spark):
     assert sure == {(300, "apache"), (301, "bsd"), (302, "mit"), (303, "mit"), (304, "isc")}
     assert [r.paragraph for r in got if r.doc_id == 300 and r.confirmed] == [2]
     assert {(r.family, r.confirmed) for r in got if r.doc_id == 305} == {("unknown", False)}
+
+
+def test_texts_without_a_word_that_names_licences_are_cut_and_scored(spark, monkeypatch):
+    rows = [(i, f"{sentence(i, 30)}\n{sentence(i + 50, 20)}") for i in range(40)]
+    cut, sizes = licences.paragraphs, []
+    monkeypatch.setattr(licences, "paragraphs", lambda docs, *columns: sizes.append(docs.count()) or cut(docs, *columns))
+    licences.scan(documents(spark, rows))
+    assert sizes[-1] == len(rows)
