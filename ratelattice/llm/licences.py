@@ -92,9 +92,9 @@ def words_of(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame, *columns: str) -> DataFrame:
-    """Rows (``columns``, paragraph, window, words, at) of the column ``text``; windows only part long paragraphs.
+    """Rows (``columns``, paragraph, window, words, at, pairs) of the column ``text``; windows only part long paragraphs.
 
-    paragraph is the number of its first line, at the line of each word.
+    paragraph is the number of its first line, at the line of each word; pairs are the neighbouring words, joined.
     """
     lines = docs.select(*columns, F.split(F.coalesce("text", F.lit("")), "\n").alias("__lines"))
     lines = lines.withColumn("__words", F.transform("__lines", words_of)).drop("__lines")
@@ -104,25 +104,38 @@ def paragraphs(docs: DataFrame, *columns: str) -> DataFrame:
 
     def block(first: Column, k: Column) -> Column:
         part = F.slice("__words", first + 1, F.coalesce(F.get("__starts", k + 1), F.size("__words")) - first)
-        at = F.flatten(F.transform(part, lambda w, j: F.array_repeat(first + j, F.size(w))))
-        return F.struct(first.alias("paragraph"), F.flatten(part).alias("all"), at.alias("at"))
+        return F.struct(first.alias("paragraph"), part.alias("part"))
 
-    worded = lines.select(*columns, F.explode(F.transform("__starts", block)).alias("__b"))
-    worded = worded.select(*columns, "__b.paragraph", F.col("__b.all").alias("__all"), F.col("__b.at").alias("__at"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("__all") - (WINDOW - STEP) - 1, F.lit(0)), F.lit(STEP))
-    cut = worded.withColumn("__start", F.explode(starts))
-    window = lambda c: F.slice(c, F.col("__start") + 1, WINDOW)
-    return cut.select(*columns, "paragraph", (F.col("__start") / STEP).cast("int").alias("window"), window("__all").alias("words"), window("__at").alias("at"))
+    def worded(b: Column) -> Column:
+        at = F.flatten(F.transform(b["part"], lambda w, j: F.array_repeat(b["paragraph"] + j, F.size(w))))
+        return F.struct(b["paragraph"].alias("paragraph"), F.flatten(b["part"]).alias("all"), at.alias("at"))
+
+    def paired(b: Column) -> Column:
+        return F.struct(b["paragraph"].alias("paragraph"), b["all"].alias("all"), b["at"].alias("at"), _pairs(b["all"]).alias("pairs"))
+
+    def windows(b: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(b["all"]) - (WINDOW - STEP) - 1, F.lit(0)), F.lit(STEP))
+        cut = lambda i, c, n=WINDOW: F.slice(b[c], i + 1, n).alias(c)
+        number = lambda i: (i / STEP).cast("int").alias("window")
+        return F.transform(starts, lambda i: F.struct(b["paragraph"].alias("paragraph"), number(i), cut(i, "all").alias("words"), cut(i, "at"), cut(i, "pairs", WINDOW - 1)))
+
+    # each step is a lambda's variable, made once; the windows leave one generator whole, as a filter above would move
+    # below plain projections and make their columns anew for each word that it looks at
+    blocks = F.transform(F.transform(F.transform("__starts", block), worded), paired)
+    cut = lines.select(*columns, F.explode(F.flatten(F.transform(blocks, windows))).alias("__w"))
+    return cut.select(*columns, *[F.col("__w")[c].alias(c) for c in ("paragraph", "window", "words", "at", "pairs")])
 
 
 def _pairs(words: Column) -> Column:
     """The neighbouring words, joined."""
-    return F.transform(F.slice(words, 2, F.size(words)), lambda w, i: F.concat_ws(" ", F.get(words, i), w))
+    size = F.size(words)
+    return F.zip_with(F.slice(words, 1, F.greatest(size - 1, F.lit(0))), F.slice(words, 2, size), lambda a, b: F.concat(a, F.lit(" "), b))
 
 
 def with_terms(rows: DataFrame) -> DataFrame:
-    """Adds ``terms``: the words and word pairs of ``words``."""
-    return rows.withColumn("terms", F.concat("words", _pairs(F.col("words"))))
+    """Adds ``terms``: the words and word pairs of ``words``, in place of ``pairs`` where ``rows`` has them."""
+    pairs = F.col("pairs") if "pairs" in rows.columns else _pairs(F.col("words"))
+    return rows.withColumn("terms", F.concat("words", pairs)).drop("pairs")
 
 
 def notices(spark: SparkSession, contexts: list[list[str]]) -> DataFrame:
@@ -183,9 +196,10 @@ def train(docs: DataFrame) -> tuple[PipelineModel, float]:
 
 def _scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Adds ``best``, the likeliest family's number (1 ...), ``share``, its probability, and ``none``, that of "unknown"."""
-    given = model.transform(rows).withColumn("__p", vector_to_array("probability"))
+    hashing, regression = model.stages
+    given = regression.copy().setRawPredictionCol("").setPredictionCol("").transform(hashing.transform(rows)).withColumn("__p", vector_to_array("probability"))
     given = given.withColumn("none", F.get("__p", 0)).withColumn("__q", F.slice("__p", 2, len(FAMILIES)))
-    return given.withColumns({"share": F.array_max("__q"), "best": F.array_position("__q", F.array_max("__q")).cast("int")}).drop("__p", "__q", "rawPrediction", "probability", "prediction", "features")
+    return given.withColumns({"share": F.array_max("__q"), "best": F.array_position("__q", F.array_max("__q")).cast("int")}).drop("__p", "__q", "probability", "features")
 
 
 def template_pairs(spark: SparkSession) -> DataFrame:
@@ -224,6 +238,11 @@ def confirmed_by_templates(found: DataFrame) -> DataFrame:
     return shared.drop("__templates", "__pairs", "__w", "__at", "__best")
 
 
+def _licenses(words: Column) -> Column:
+    # every alternative has these letters, which are found faster
+    return words.contains("licen") & words.rlike(LICENSING)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per licence paragraph: doc_id, paragraph, window, family, probability, words, template_share, confirmed.
 
@@ -232,13 +251,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     model, least = train(docs)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    licensing = F.array_join("words", " ").rlike(LICENSING)
+    licensing = _licenses(F.array_join("words", " "))
     known = F.col("share") >= least
     scored = _scored(model, with_terms(paragraphs(rows, "doc_id"))).filter(known | licensing)
     family = F.when(known, F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), F.col("best"))).otherwise(UNKNOWN)
     found = scored.select("doc_id", "paragraph", "window", family.alias("family"), F.col("share").alias("probability"), F.array_join("words", " ").alias("words"), F.col("words").alias("__w"), F.col("at").alias("__at"), "none")
     rated = confirmed_by_templates(found)
-    unknown = (F.col("family") == UNKNOWN) | ((F.col("template_share") < RELATED) & F.col("words").rlike(LICENSING))
+    unknown = (F.col("family") == UNKNOWN) | ((F.col("template_share") < RELATED) & _licenses(F.col("words")))
     rated = rated.withColumn("__unknown", unknown)
     rated = rated.withColumns({"family": F.when(F.col("__unknown"), UNKNOWN).otherwise(F.col("family")), "probability": F.when(F.col("__unknown"), F.col("none")).otherwise(F.col("probability"))})
     return rated.withColumn("template_share", F.when(F.col("__unknown"), 0.0).otherwise(F.col("template_share"))).drop("none", "__unknown")

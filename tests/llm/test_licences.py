@@ -68,3 +68,18 @@ def test_texts_without_a_word_that_names_licences_are_cut_and_scored(spark, monk
     monkeypatch.setattr(licences, "paragraphs", lambda docs, *columns: sizes.append(docs.count()) or cut(docs, *columns))
     licences.scan(documents(spark, rows))
     assert sizes[-1] == len(rows)
+
+
+def test_windows_leave_one_generator_so_that_the_filter_makes_no_terms_anew(spark):
+    words = [f"w{i}" for i in range(200)]
+    docs = documents(spark, [(1, " ".join(words[:150]) + "\n" + " ".join(words[150:])), (2, "one\n\ntwo words\n"), (3, " ".join(words[:65]))])
+    rows = licences.paragraphs(docs.select("doc_id", "text"), "doc_id")
+    got = sorted(rows.collect(), key=lambda r: (r.doc_id, r.paragraph, r.window))
+    assert [(r.doc_id, r.paragraph, r.window, len(r.words)) for r in got] == [(1, 0, 0, 64), (1, 0, 1, 64), (1, 0, 2, 64), (1, 0, 3, 56), (2, 0, 0, 1), (2, 2, 0, 2), (3, 0, 0, 64), (3, 0, 1, 17)]
+    for r in got:
+        assert r.pairs == [f"{a} {b}" for a, b in zip(r.words[:-1], r.words[1:], strict=True)]
+    assert [r.at for r in got if r.doc_id == 1][3] == [0] * 6 + [1] * 50
+    assert all(r.terms == q.words + q.pairs for r, q in zip(sorted(licences.with_terms(rows).collect(), key=lambda r: (r.doc_id, r.paragraph, r.window)), got, strict=True))
+    plan = licences.scan(docs)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "UDF" in line]
+    assert filters and not any("lambdafunction" in line for line in filters)
