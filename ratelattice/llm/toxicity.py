@@ -9,9 +9,10 @@ Terms that no example has can't add to a product and have no document frequency;
 count in the norm either.
 
 The examples lie in an inverted index in sparse form: postings by term and block of examples, with
-the largest weight of each term in each block.  A query bounds every block by these weights, visits
-the blocks in descending bound and stops below the k-th best similarity so far, so its neighbours
-are the exact ones.  Neighbours vote with weights that grow with their similarity; the vote is
+the largest weight of each term in each block.  The terms that many examples have form a matrix besides,
+whose products with many queries at a time are exact sums to begin with.  A query bounds every block by
+these sums and the largest weights of its other terms, and adds these terms' postings in the
+blocks that may hold one of the k, so its neighbours are the exact ones.  Neighbours vote with weights that grow with their similarity; the vote is
 turned into a probability by a logistic curve fitted on votes that leave the example itself out.
 
 The classifier is fitted on a bounded sample of labelled rows (``examples``, half of it for each
@@ -43,7 +44,7 @@ from ratelattice.sources.kept import keep
 EXAMPLES, NEIGHBOURS, BLOCK = 3_000, 15, 128
 CALIBRATED = 2_000  # examples whose own votes calibrate the score
 FLOOR = 0.002  # of a term's relevance: what a term weighs that says nothing about the label
-FIRST_BLOCKS = 4
+FREQUENT = 10  # a term that more than one example in so many has is frequent
 TELLING = 25.0  # likelihood ratio of terms that tell toxic examples: beginnings of words that count, words that an empty text lacks
 _PREFIXES = (4, 5, 6)
 _WORDS = re.compile(r"[^\W\d_]{2,}")
@@ -72,15 +73,16 @@ class Index:
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     names: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     postings: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0, np.int64), np.zeros(0)))
-    entries: tuple[np.ndarray, np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0, np.int64),) * 3)  # block, largest weight, first posting
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64)))  # block, largest weight, first posting
     first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # of each term: its first entry
     empty_share: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
     weight: float = 1.0
     cache: dict[str, list[int]] = field(default_factory=dict)
+    frequent: tuple[np.ndarray, np.ndarray] | None = None  # row of each term, or -1, and the matrix; made from the postings where it is used
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "frequent": None}
 
     def _numbers(self, word: str) -> list[int]:
         known = self.cache.get(word)
@@ -90,12 +92,14 @@ class Index:
                 self.cache[word] = known
         return known
 
-    def counts(self, text: str | None) -> Counter:
+    def counts(self, text: str | None) -> dict[int, int]:
         """How often each term of the examples occurs."""
-        found: Counter = Counter()
+        found: dict[int, int] = {}
+        known = self.cache.get
         for word, n in Counter(_WORDS.findall((text or "").lower())).items():
-            for t in self._numbers(word):
-                found[t] += n
+            numbers = known(word)
+            for t in self._numbers(word) if numbers is None else numbers:
+                found[t] = found.get(t, 0) + n
         return found
 
     def arrays(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -129,49 +133,70 @@ class Index:
         self.postings = (examples, weights)
         self.entries = (blocks[starts], most, np.r_[starts, len(terms)])
         self.first = np.searchsorted(terms[starts], np.arange(len(self.number) + 1))
+        self.frequent = None
 
     def nearest(self, vector: dict[int, float], without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         return self.nearest_to(np.fromiter(vector, np.int64, len(vector)), np.fromiter(vector.values(), np.float64, len(vector)), without)
 
-    def nearest_to(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and similarities of the k most similar examples (ties: the earlier one), most similar first."""
-        n_blocks = -(-len(self.labels) // BLOCK)
+    def _frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.frequent is None:
+            runs = self.entries[2][self.first]
+            terms = np.flatnonzero(np.diff(runs) * FREQUENT > len(self.labels))
+            row, matrix = np.full(len(runs), -1), np.zeros((len(terms), len(self.labels)))
+            row[terms] = np.arange(len(terms))
+            posting, of = _spread(runs[terms], runs[terms + 1])
+            matrix[of, self.postings[0][posting]] = self.postings[1][posting]
+            self.frequent = row, matrix
+        return self.frequent
+
+    def begun(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of each vector (terms, weights) the products of its frequent terms with all examples."""
+        row, matrix = self._frequent()
+        queries = np.zeros((len(vectors), len(matrix)))
+        for query, (terms, weights) in zip(queries, vectors, strict=True):
+            at = row[terms]
+            query[at[at >= 0]] = weights[at >= 0]
+        return queries @ matrix
+
+    def nearest_to(self, terms: np.ndarray, weights: np.ndarray, without: int = -1, begun: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and similarities of the k most similar examples (ties: the earlier one), most similar first.
+
+        ``begun`` is the vector's row of ``begun``, which is added to.
+        """
+        if not len(self.labels):
+            return np.zeros(0, np.int64), np.zeros(0)
+        similar = self.begun([(terms, weights)])[0] if begun is None else begun
+        other = self._frequent()[0][terms] < 0
+        terms, weights = terms[other], weights[other]
+        least = self._least(similar, without)
+        starts = np.arange(0, len(similar), BLOCK)
         entry, at = _spread(self.first[terms], self.first[terms + 1])
-        blocks, factor = self.entries[0][entry], weights[at]
-        bounds = np.bincount(blocks, self.entries[1][entry] * factor, minlength=n_blocks)
-        visit = np.argsort(-bounds, kind="stable")
-        similar, least = np.zeros(len(self.labels)), 0.0
-        for nth in range(2):
-            # the best-bounded blocks first; then all others that may hold one of the k
-            now = visit[:FIRST_BLOCKS] if nth == 0 else visit[FIRST_BLOCKS:]
-            now = now[(bounds[now] > 0) & (bounds[now] >= least - 1e-12)]
-            if 4 * len(now) > n_blocks:
-                similar = self._products(terms, weights)
-            elif len(now):
-                chosen = np.zeros(n_blocks, dtype=bool)
-                chosen[now] = True
-                hit = chosen[blocks]
-                posting, of = _spread(self.entries[2][entry[hit]], self.entries[2][entry[hit] + 1])
-                similar += np.bincount(self.postings[0][posting], self.postings[1][posting] * factor[hit][of], minlength=len(similar))
-            if without >= 0:
-                similar[without] = 0
-            if len(similar) > self.k:
-                least = np.partition(similar, -self.k)[-self.k]
+        blocks = self.entries[0][entry]
+        bounds = np.bincount(blocks, self.entries[1][entry] * weights[at], minlength=len(starts)) + np.maximum.reduceat(similar, starts)
+        visit = (bounds > 0) & (bounds >= least - 1e-12)
+        if 4 * visit.sum() > len(starts):
+            runs = self.entries[2]
+            posting, of = _spread(runs[self.first[terms]], runs[self.first[terms + 1]])
+        else:
+            hit = visit[blocks]
+            posting, of = _spread(self.entries[2][entry[hit]], self.entries[2][entry[hit] + 1])
+            weights = weights[at[hit]]
+        if len(posting):
+            similar += np.bincount(self.postings[0][posting], self.postings[1][posting] * weights[of], minlength=len(similar))
+        least = self._least(similar, without)
         found = np.flatnonzero(similar >= max(least - 1e-12, 1e-300))
         order = np.lexsort((found, -np.round(similar[found], 12)))[: self.k]
         return found[order], similar[found[order]]
 
-    def _products(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Similarities of all examples: whole runs of postings, where most blocks have to be visited."""
-        examples, of_example = self.postings
-        runs = self.entries[2][self.first[np.stack([terms, terms + 1])]].T.tolist()
-        at = [examples[start:end] for start, end in runs]
-        products = [of_example[start:end] * w for (start, end), w in zip(runs, weights.tolist(), strict=True)]
-        return np.bincount(np.concatenate(at), np.concatenate(products), minlength=len(self.labels)) if at else np.zeros(len(self.labels))
+    def _least(self, similar: np.ndarray, without: int) -> float:
+        """The k-th largest similarity so far."""
+        if without >= 0:
+            similar[without] = 0
+        return np.partition(similar, -self.k)[-self.k] if len(similar) > self.k else 0.0
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
+    def vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1, begun: np.ndarray | None = None) -> tuple[float, np.ndarray]:
         """Share of toxic neighbours, weighted by similarity and class, and the neighbours."""
-        found, values = self.nearest_to(terms, weights, without)
+        found, values = self.nearest_to(terms, weights, without, begun)
         if not len(found):
             return self.empty_share, found
         toxic = self.labels[found] > 0
@@ -190,8 +215,8 @@ class Index:
             beta = np.clip(beta + step / max(1.0, float(np.abs(step).max())), [0.05, -STEEPEST], [STEEPEST, STEEPEST])
         self.curve = (float(beta[0]), float(beta[1]))
 
-    def score(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray]:
-        share, found = self.vote(terms, weights)
+    def score(self, terms: np.ndarray, weights: np.ndarray, begun: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+        share, found = self.vote(terms, weights, begun=begun)
         if not len(found):
             return self.empty_share, found
         return float(_logistic(self.curve[0] * _logit(share) + self.curve[1])), found
@@ -321,8 +346,9 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 scores, evidence = [], []
-                for text in part.column(1).to_pylist():
-                    value, found = index.score(*index.arrays(text))
+                vectors = [index.arrays(text) for text in part.column(1).to_pylist()]
+                for vector, begun in zip(vectors, index.begun(vectors), strict=True):
+                    value, found = index.score(*vector, begun)
                     scores.append(value)
                     evidence.append(index.names[found])
                 yield pa.record_batch([part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], names=["row", "score", "evidence"])

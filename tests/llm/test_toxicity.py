@@ -157,3 +157,33 @@ def test_votes_that_part_the_labels_give_a_bounded_curve():
     with np.errstate(all="raise"):
         index.fit_curve(np.array([0.0] * 50 + [1.0] * 50), np.array([0.0] * 50 + [1.0] * 50), np.ones(100))
     assert 0 < index.curve[0] <= toxicity.STEEPEST and abs(index.curve[1]) <= toxicity.STEEPEST
+
+
+def test_frequent_terms_come_from_the_matrix_and_the_rest_from_the_blocks(monkeypatch):
+    """Products of a batch equal brute force, and no query goes through the postings of frequent terms again."""
+    rng = np.random.default_rng(2)
+    index = toxicity.Index([], {f"t{i}": i for i in range(2000)}, k=6)
+    vectors = []
+    for i in range(1500):
+        terms = np.unique(np.r_[rng.choice(20, 8, replace=False), rng.integers(20, 2000, 5)]) if i % 50 else np.zeros(0, np.int64)
+        values = rng.random(len(terms)) + 0.1
+        vectors.append(dict(zip(map(int, terms), (values / max(np.linalg.norm(values), 1e-9)).tolist(), strict=True)))
+    vectors[31] = vectors[1400 + 1]  # a tie
+    index.build(vectors, [0] * 1500, list(range(1500)))
+    dense = np.zeros((1500, 2000), dtype=np.float32)
+    for i, v in enumerate(vectors):
+        dense[i, list(v)] = list(v.values())
+    queries = [(np.array(sorted(v), dtype=np.int64), np.array([v[t] for t in sorted(v)])) for v in (*vectors[::30], vectors[31], {7: 1.0}, {1500: 1.0}, {})]
+    begun = index.begun(queries)
+    read = []
+    spread = toxicity._spread
+    monkeypatch.setattr(toxicity, "_spread", lambda starts, ends: read.append(int((ends - starts).sum())) or spread(starts, ends))
+    for (terms, weights), row in zip(queries, begun, strict=True):
+        exact = dense[:, terms].astype(np.float64) @ weights
+        read.clear()
+        found, values = index.nearest_to(terms, weights, begun=row)
+        best = np.lexsort((np.arange(1500), -np.round(exact, 12)))[:6]
+        assert found.tolist() == [i for i in best if exact[i] > 0] and values == pytest.approx(exact[found], abs=1e-12)
+        assert sum(read) <= 2 * int((dense[:, terms[terms >= 20]] > 0).sum())
+        alone = index.nearest_to(terms, weights)
+        assert alone[0].tolist() == found.tolist() and alone[1] == pytest.approx(values, abs=1e-12)
