@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,17 @@ def components(edges: DataFrame) -> DataFrame:
     reach; each round writes one table of labels.  The nodes stay in tables throughout.
     Null ends are ignored.
     """
-    return connected(edges.filter("a <> b"))
+    return connected(stars(edges))
+
+
+def stars(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the same nodes: each node and its smaller neighbours lead to the smallest of these.
+
+    Nodes that share many neighbours keep few edges, and every round over the edges makes fewer rows.
+    """
+    down = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    met = down.join(down.groupBy("a").agg(F.min("b").alias("__least")), "a")
+    return met.select(F.when(F.col("b") == F.col("__least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("__least").alias("b")).distinct()
 
 
 def blocks(df: DataFrame, key: str, member: str, size: str, least: int, most: int, share: int = 16) -> DataFrame:
@@ -67,6 +78,16 @@ def groups(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
         yield rest
 
 
+class Packed:
+    """A value to broadcast: each worker unpacks it once for all its tasks, without having this package, and keeps no packed copy."""
+
+    def __init__(self, held):
+        self.held = held
+
+    def __reduce__(self):
+        return cloudpickle.loads, (cloudpickle.dumps(self.held),)
+
+
 class Heaps:
     """The ``k`` first (highest score, then smallest id) offers of each of ``n`` rows; memory stays in proportion to n * k."""
 

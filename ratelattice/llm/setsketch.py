@@ -37,7 +37,7 @@ from ratelattice.sources.kept import keep
 
 BASE, RATE, TOP = 1.11, 20.0, 255  # scale of the registers: base, rate of the exponentials, largest value
 LOG_RATIO = 12.0  # a pair goes if its likeliest resemblance is e**12 times likelier than the threshold
-_WORDS_CACHED = 400_000
+_WORDS_CACHED = 200_000
 
 
 def band_plan(threshold: float, rows: int = 5, missed: float = 1e-6) -> tuple[int, int]:

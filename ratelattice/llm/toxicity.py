@@ -35,10 +35,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelattice.llm.common import Packed
 from ratelattice.sources.kept import keep
 
 EXAMPLES, NEIGHBOURS, BLOCK = 3_000, 15, 128
@@ -51,7 +51,7 @@ _WORDS = re.compile(r"[^\W\d_]{2,}")
 # scripts written without spaces: Thai to Myanmar, Khmer, kana and Han
 _UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 STEEPEST = 8.0  # slope and shift of the calibration curve
-_CACHED = 500_000  # words whose terms a task remembers, no longer than 40 letters each
+_CACHED = 200_000  # words whose terms a worker remembers, no longer than 40 letters each
 
 
 def word_terms(word: str) -> list[str]:
@@ -78,16 +78,16 @@ class Index:
     empty_share: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
     weight: float = 1.0
-    cache: dict[str, list[int]] = field(default_factory=dict)
+    cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
     frequent: tuple[np.ndarray, np.ndarray] | None = None  # row of each term, or -1, and the matrix; made from the postings where it is used
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"cache": {}, "frequent": None}
 
-    def _numbers(self, word: str) -> list[int]:
+    def _numbers(self, word: str) -> tuple[int, ...]:
         known = self.cache.get(word)
         if known is None:
-            known = [self.number[t] for t in word_terms(word) if t in self.number]
+            known = tuple([self.number[t] for t in word_terms(word) if t in self.number])
             if len(self.cache) < _CACHED and len(word) <= 40:
                 self.cache[word] = known
         return known
@@ -300,7 +300,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = N
     index.idf = term_weights(a, n_toxic, b, n_other)
     index.number = {t: i for i, t in enumerate(seen.column("term").to_pylist())}
 
-    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))
+    sent = docs.sparkSession.sparkContext.broadcast(Packed(index))
     rows = sample.mapInArrow(_vectors(sent), "doc_id bigint, toxic int, terms array<int>, weights array<float>").toArrow().combine_chunks()
     sent.unpersist()
     # examples with the same strongest terms share blocks, which keeps the bounds close
@@ -323,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = N
 
 def _vectors(sent) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = cloudpickle.loads(sent.value)
+        index = sent.value
         for batch in batches:
             made = [index.arrays(t) for t in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *(len(t) for t, _ in made)]).astype(np.int32)
@@ -338,10 +338,11 @@ def score_texts(docs: DataFrame, index: Index, columns: list[str] | None = None)
 
     The evidence holds the doc_ids of the nearest examples, nearest first.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(index))  # bounded by ``examples``
+    # bounded by ``examples``; unpacked once, as a worker's heap would not shrink again if each task unpacked it
+    sent = docs.sparkSession.sparkContext.broadcast(Packed(index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = cloudpickle.loads(sent.value)
+        index = sent.value
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

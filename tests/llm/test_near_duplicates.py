@@ -81,3 +81,13 @@ def test_blocks_bring_every_pair_together(spark):
         here = [r.member for r in cut if r.key == "g" and (r["__i"], r["__j"]) == i]
         met |= {(a, b) for a in here for b in here}
     assert len(met) == 40 * 40
+
+
+def test_stars_connect_the_same_nodes_with_fewer_edges(spark):
+    many = [(100 + i, c) for i in range(40) for c in range(1 + i % 3, 9)] + [(1, 2), (50, 50), (60, 61), (None, 3), (3, None)]
+    edges = spark.createDataFrame(many, "a bigint, b bigint")
+    left = common.stars(edges)
+    assert left.count() == 40 + 7 + 6 + 5 + 1  # of 282: to 1, 2 or 3 from each high node and from the low ones above
+    want = {n: 1 for n in [*range(1, 9), *range(100, 140)]} | {60: 60, 61: 60}
+    assert {r.node: r.component for r in common.components(edges).collect()} == want
+    assert {r.node: r.component for r in common.connected(left).collect()} == want

@@ -1,6 +1,8 @@
+import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +189,18 @@ def test_frequent_terms_come_from_the_matrix_and_the_rest_from_the_blocks(monkey
         assert sum(read) <= 2 * int((dense[:, terms[terms >= 20]] > 0).sum())
         alone = index.nearest_to(terms, weights)
         assert alone[0].tolist() == found.tolist() and alone[1] == pytest.approx(values, abs=1e-12)
+
+
+def test_a_worker_unpacks_the_index_once(spark):
+    from ratelattice.llm.common import Packed
+
+    index = toxicity.Index([1.0, 2.0], {"one": 0, "two": 1})
+    index.build([{0: 1.0}, {1: 1.0}], [0, 1], [1, 2])
+    sent = spark.sparkContext.broadcast(Packed(index))
+
+    def run(batches):
+        yield from (pa.record_batch([pa.array([id(sent.value)] * b.num_rows), pa.array([sent.value.number["two"]] * b.num_rows), pa.array([os.getpid()] * b.num_rows)], names=["at", "two", "worker"]) for b in batches)
+
+    rows = spark.range(0, 200, 1, 40).mapInArrow(run, "at bigint, two bigint, worker bigint").distinct().collect()
+    assert {r.two for r in rows} == {1}
+    assert len({(r.worker, r["at"]) for r in rows}) == len({r.worker for r in rows})  # tasks of a worker share it
