@@ -3,10 +3,13 @@
 import os
 import random
 
+import pytest
+
 from ratelattice.operators import admission, settling
+from ratelattice.plans.queries import PLANS
 from ratelattice.sources import kept
-from tests.tiny import TinyTables, day, entry, line, nodes, rate
 from tests.test_admission import ADDS, UPDATES
+from tests.tiny import TinyTables, day, entry, line, nodes, rate
 
 
 def folders(spark):
@@ -58,3 +61,18 @@ def test_a_portion_leaves_only_its_result(spark):
     done = kept.by_portion(spark, 3, lambda number: kept.keep(spark.range(9), "inner").filter(f"id % 3 = {number}"), "result")
     assert len(folders(spark) - before) == 3 and sorted(r[0] for r in done.collect()) == list(range(9))
     assert kept.portions(spark, kept.UNKNOWN_BYTES) == 1 and kept.portions(spark, 1 << 50) == kept.MOST_PORTIONS
+
+
+@pytest.mark.parametrize(("name", "read"), [
+    ("entry_detail_json", {"documents"}), ("rate_asof_after_updates", {"asof"}), ("change_log_append", {"updated", "add_judged"}), ("rate_rejections", {"updated", "add_judged"}),
+])
+def test_queries_in_portions(spark, tables, name, read):
+    """The results come from tables kept portion by portion, and are those of the whole."""
+    whole = sorted(map(repr, PLANS[name](tables).collect()))
+    spark.conf.set(kept.PORTION_BYTES, "50000")
+    try:
+        done = PLANS[name](tables)
+        assert {file.split("/kept-")[1].split("/")[1] for file in done.inputFiles() if "/kept-" in file} >= read
+        assert sorted(map(repr, done.collect())) == whole
+    finally:
+        spark.conf.unset(kept.PORTION_BYTES)
